@@ -144,12 +144,11 @@ class _Members:
 
     def _more(self) -> bool:
         while True:
-            if not self.raw:
-                self.raw = self.f.read(1 << 18)
-                if not self.raw:
-                    return False
-            got = self.inflate.decompress(self.raw, 1 << 18)
-            self.raw = self.inflate.unconsumed_tail or self.inflate.unused_data
+            raw = self.raw or self.f.read(1 << 15)
+            if not raw:
+                return False
+            got = self.inflate.decompress(raw)
+            self.raw = self.inflate.unused_data
             if self.inflate.eof:
                 self.inflate = zlib.decompressobj(31)
             if got:
@@ -162,10 +161,10 @@ class _Members:
         out, self.held = self.held[:n], self.held[n:]
         return out
 
-    def line(self) -> bytes:
+    def line(self) -> bytes | None:
         while b"\r\n" not in self.held:
             if not self._more():
-                return b""
+                return None
         out, _, self.held = self.held.partition(b"\r\n")
         return out
 
@@ -173,7 +172,7 @@ class _Members:
 def read_records(f):
     """Chunks of each record of an open archive: (headers, chunk number, bytes, digest so far, bytes so far, last)."""
     members = _Members(f)
-    while (line := members.line()) or members.held:
+    while (line := members.line()) is not None:
         if not line.startswith(b"WARC/"):
             continue
         headers = {}
