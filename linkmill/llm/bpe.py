@@ -26,8 +26,10 @@ from linkmill.llm.pieces import PieceEncoder
 
 #: Bytes of ids in an output batch.
 OUT_BYTES = 8_000_000
+#: Rows whose texts are held as Python strings at a time.
+SLICE_ROWS = 2000
 #: Distinct words remembered at most by a worker, ids decoded at a time, and the rank of what can't be merged.
-MOST_WORDS, DECODED, NONE = 500_000, 200_000, 1 << 40
+MOST_WORDS, DECODED, NONE = 250_000, 200_000, 1 << 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -214,7 +216,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
 
     def run(batches):
         c = codec(ranks_path, pattern)
-        for batch in batches:
+        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             held, start, size = [], 0, 0
             for i, x in enumerate(c.encode(texts)):

@@ -29,6 +29,8 @@ from linkmill.llm.pieces import BLOCK_CHARS, MOST_PIECES, runs
 ORDER = 4
 TRAIN_DOCS, TRAIN_BYTES = 400, 16_384
 UND = "und"
+#: Rows whose texts are held as Python strings at a time.
+SLICE_ROWS = 2000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -94,6 +96,7 @@ class Model:
     def __init__(self, texts_by_lang: dict[str, list[str]]):
         self.langs = sorted(texts_by_lang)
         self.trees = []
+        self.words = None  # learned words, their code lengths and sizes
         for lang in self.langs:
             counts: dict[str, int] = {}
             for t in texts_by_lang[lang]:
@@ -108,9 +111,7 @@ class Model:
 
     def predict(self, texts: list[str | None]):
         """Yields (language, score, bits per byte) of each text, whole."""
-        known: dict[str, int] = {}
-        table = np.zeros((0, len(self.langs)))
-        sizes = np.zeros(0)
+        known, table, sizes = self.words or ({}, np.zeros((0, len(self.langs))), np.zeros(0))
         clean = [t or "" for t in texts]
         for a, b in runs(clean, BLOCK_CHARS):
             if len(known) > MOST_PIECES:
@@ -121,9 +122,10 @@ class Model:
             new = list(new.difference(known.keys())) if self.langs else []
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             raw = [w.encode() for w in new]
-            for i in range(0, len(raw), 50_000):
-                table = np.concatenate([table, self.word_bits(raw[i : i + 50_000])])
+            for i in range(0, len(raw), 10_000):
+                table = np.concatenate([table, self.word_bits(raw[i : i + 10_000])])
             sizes = np.concatenate([sizes, [len(w) + 1 for w in raw]])
+            self.words = known, table, sizes
             for t in clean[a:b]:
                 if not self.langs or not _LETTER.search(t):
                     yield UND, 0.0, None
@@ -161,7 +163,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             got = list(zip(*shared.value.predict(batch.column(text_col).to_pylist()), strict=True)) or [(), (), ()]
             cols = [pa.array(v, k) for v, k in zip(got, (pa.string(), pa.float64(), pa.float64()), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in carried] + cols, [f.name for f in carried + extra])

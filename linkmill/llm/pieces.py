@@ -14,7 +14,7 @@ _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: White space other than a space or line feed, runs of white space, and the mark: such texts are cut by _BOUNDARY.
 _IRREGULAR = ("\0", "  ", "\n\n", " \n", "\n ", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 #: Characters of texts cut at a time, characters whose new pieces are encoded together, and pieces remembered at most.
-SLICE_CHARS, BLOCK_CHARS, MOST_PIECES = 2_000_000, 24_000_000, 600_000
+SLICE_CHARS, BLOCK_CHARS, MOST_PIECES = 1_000_000, 6_000_000, 250_000
 
 
 def cut(text: str) -> list[str]:

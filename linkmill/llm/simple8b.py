@@ -34,6 +34,8 @@ from linkmill.llm.pieces import PieceEncoder
 SELECTORS = ((1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 HEAD, TAIL = b"S8BTOK01", b"S8BEND01"
 BLOCK = 65_536
+#: Rows whose texts are held as Python strings at a time.
+SLICE_ROWS = 2000
 END_ID = 2
 
 
@@ -202,7 +204,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col
         encoder, shard, writer, n_docs, n_tokens = _encoder(tokenizer_path), TaskContext.get().partitionId(), None, 0, 0
         fs, base = pafs.FileSystem.from_uri(out_uri)
         attempt, path = f"{base}/.attempt-{uuid.uuid4().hex}", f"{base}/shard-{shard:06d}.s8b"
-        for batch in batches:
+        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
             ids, texts = batch.column("id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
             for doc, got in zip(ids, encoder.texts(texts), strict=True):
                 if writer is None:
