@@ -68,6 +68,15 @@ def _tokens(x: Column, least: int) -> Column:
     return F.array_distinct(F.filter(F.split(x, r"\s+"), lambda t: F.length(t) >= least))
 
 
+def _tagged(tag: str, value: str, arrays: dict[str, Column]) -> Column:
+    """One array of structs: each element of the arrays with the name of its own."""
+
+    def named(name: str, array: Column) -> Column:
+        return F.transform(array, lambda x: F.struct(F.lit(name).alias(tag), x.alias(value)))
+
+    return F.flatten(F.array(*[named(k, v) for k, v in arrays.items()]))
+
+
 def record_tokens(records: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
     """Distinct name, address and transliterated tokens of each record and its first distinct numbers."""
     name = F.when(F.col("name_core") != "", F.col("name_core")).otherwise(F.col("name_tokens"))
@@ -82,13 +91,13 @@ def record_tokens(records: DataFrame, config: dict = DEFAULTS["multikey"]) -> Da
 
 def token_frequencies(tokens: DataFrame) -> DataFrame:
     """(country, view, token, df): reference records that hold a token."""
-    rows = F.flatten(F.array(*[F.transform(F.col(v), lambda t, v=v: F.struct(F.lit(v).alias("view"), t.alias("token"))) for v in ("name", "address", "translit")]))
+    rows = _tagged("view", "token", {v: F.col(v) for v in ("name", "address", "translit")})
     return tokens.select("country", F.inline(rows)).groupBy("country", "view", "token").agg(F.count("*").alias("df"))
 
 
 def rare_tokens(tokens: DataFrame, frequencies: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
     """(country, entity_id, view, token, df): each record's rarest tokens that the reference holds and that are rare there."""
-    rows = F.flatten(F.array(*[F.transform(F.col(v), lambda t, v=v: F.struct(F.lit(v).alias("view"), t.alias("token"))) for v in ("name", "address", "translit")]))
+    rows = _tagged("view", "token", {v: F.col(v) for v in ("name", "address", "translit")})
     most = F.when(F.col("view") == "address", config["address_max_df"]).otherwise(config["name_max_df"])
     held = tokens.select("country", "entity_id", F.inline(rows)).join(frequencies, ["country", "view", "token"]).where(F.col("df") <= most)
     place = F.row_number().over(Window.partitionBy("country", "entity_id", "view").orderBy("df", "token"))
@@ -108,7 +117,7 @@ def multikeys(records: DataFrame, frequencies: DataFrame, config: dict = DEFAULT
 
     pair = F.when(F.size("address") >= 2, F.array(F.array_join(F.slice("address", 1, 2), US))).otherwise(F.array().cast("array<string>"))
     made = (F.col("name"), cross("name", "numbers"), cross("numbers", "address"), cross("name", "address"), pair, F.col("translit"), cross("translit", "numbers"))
-    keys = F.flatten(F.array(*[F.transform(k, lambda x, f=f: F.struct(F.lit(f).alias("family"), x.alias("key"))) for f, k in zip(FAMILIES, made, strict=True)]))
+    keys = _tagged("family", "key", dict(zip(FAMILIES, made, strict=True)))
     return rows.select("country", "entity_id", F.inline(F.array_distinct(keys)))
 
 
