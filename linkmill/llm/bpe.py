@@ -22,12 +22,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from linkmill.llm.common import tidy
 from linkmill.llm.pieces import PieceEncoder
 
 #: Bytes of ids in an output batch.
 OUT_BYTES = 8_000_000
 #: Rows whose texts are held as Python strings at a time.
-SLICE_ROWS = 2000
+SLICE_ROWS = 1000
 #: Distinct words remembered at most by a worker, ids decoded at a time, and the rank of what can't be merged.
 MOST_WORDS, DECODED, NONE = 250_000, 200_000, 1 << 40
 
@@ -184,6 +185,10 @@ class Codec:
         """Yields the ids of each text, as little-endian unsigned 32-bit integers in bytes."""
         return self.encoder.texts(texts)
 
+    def forget(self) -> None:
+        self.encoder.known.clear()
+        self.merges.words.clear()
+
     def decode(self, ids: bytes) -> bytes:
         out = []
         for k in range(0, len(ids), 4 * DECODED):
@@ -226,6 +231,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
                     cols = [pa.array(v, k) for v, k in zip(zip(*held, strict=True), (pa.int64(), pa.string(), pa.string(), pa.binary()), strict=False)]
                     yield pa.RecordBatch.from_arrays([batch.column(f.name).slice(start, len(held)) for f in carried] + cols, [f.name for f in carried] + names)
                     held, start, size = [], i + 1, 0
+        c.forget()
+        tidy()
 
     return docs.select(*[f.name for f in carried]).mapInArrow(run, T.StructType(carried + extra))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -65,3 +67,15 @@ def parts_for(spark: SparkSession, least: int = 1) -> int:
 
 def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*[f for f in schema.fields if f.name != name], T.StructField(name, kind)])
+
+
+def tidy() -> None:
+    """Gives memory that a Python worker no longer uses back to the system; workers are kept for later tasks."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass

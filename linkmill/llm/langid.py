@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkmill.llm.common import materialise, small
+from linkmill.llm.common import materialise, small, tidy
 from linkmill.llm.pieces import BLOCK_CHARS, MOST_PIECES, runs
 
 ORDER = 4
 TRAIN_DOCS, TRAIN_BYTES = 400, 16_384
 UND = "und"
 #: Rows whose texts are held as Python strings at a time.
-SLICE_ROWS = 2000
+SLICE_ROWS = 1000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -167,6 +167,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             got = list(zip(*shared.value.predict(batch.column(text_col).to_pylist()), strict=True)) or [(), (), ()]
             cols = [pa.array(v, k) for v, k in zip(got, (pa.string(), pa.float64(), pa.float64()), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in carried] + cols, [f.name for f in carried + extra])
+        shared.value.words = None
+        tidy()
 
     return docs.select(*[f.name for f in carried]).mapInArrow(run, T.StructType(carried + extra))
 

@@ -4,7 +4,8 @@ Built from DataFrame functions only. A line's key is the line stripped of `[\\x2
 lower-cased; keys are held as 64-bit hashes, so that no text is shuffled to be counted.
 
 Defined results: a null or empty text is one empty line; empty keys are never dropped; each row is a document of its own,
-so repeated rows count once each and all lose the same lines; other columns pass through; an empty table gives an empty one.
+so repeated rows count once each and all lose the same lines; other columns pass through, but for those
+named as the ones added; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def frequent_lines(hashes: DataFrame, min_docs: int) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with `text_col` rebuilt from its kept lines, and the columns _n_lines and _n_dropped."""
+    docs = docs.drop("_n_lines", "_n_dropped", "_lines", "_dropped", "_row_key")
     hashes = materialise(line_hashes(docs, id_col, text_col), "lines")
     frequent = small(materialise(frequent_lines(hashes, min_docs).select("h"), "frequent-lines"))
     dropped = (

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import materialise, parts_for, small
+from linkmill.llm.common import materialise, parts_for, small, tidy
 from linkmill.llm.components import Groups, components
 
 WIDTH, LEAST = 5, 75
@@ -181,6 +181,8 @@ def _pack(sets, parts: int):
         held += len(s)
     if ids:
         yield block()
+    ids, arrays = [], []
+    tidy()
 
 
 _ANSWER = "block long, places binary, counts binary, tokens binary, ids binary, nulls binary, sizes binary, s1 binary, s2 binary"
@@ -218,6 +220,7 @@ def _answer(tokens: bool):
                     out.append((uid, docs.astype("<u2").tobytes(), counts.astype("<u4").tobytes(), *[None] * 6))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        tidy()
 
     return run
 

@@ -17,6 +17,8 @@ from linkmill.llm.common import words
 WINDOW = 5
 #: Failure bit of each rule; bits are never reused, so that old ledgers stay readable.
 RULES = {"few_words": 0, "repeated_windows": 1, "symbol_share": 2, "duplicate_lines": 3, "word_length": 4}
+#: Columns of the ledger and of its making; input columns of these names are left out.
+OUTPUTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits", "_n_lines", "_lines", "_words", "_hashes", "_windows", "_sorted")
 #: A document fails a policy if it fails any rule in its mask.
 POLICIES = {
     "base": ("few_words", "repeated_windows"),
@@ -71,7 +73,7 @@ def _failures() -> dict[str, Column]:
 
 def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the measurements and fail_bits (long): bit RULES[r] is set if the document fails rule r."""
-    measured = _measured(docs, text_col)
+    measured = _measured(docs.drop(*OUTPUTS), text_col)
     bits = sum((F.when(failed, F.lit(1 << RULES[r])).otherwise(F.lit(0)) for r, failed in _failures().items()), F.lit(0))
     return measured.withColumn("fail_bits", bits.cast("long")).drop("_n_lines")
 

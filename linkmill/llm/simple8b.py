@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import materialise, parts_for, work_path
+from linkmill.llm.common import materialise, parts_for, tidy, work_path
 from linkmill.llm.pieces import PieceEncoder
 
 #: Fixed values of the format: (ids in a word, bits of each) by selector; 0 is the escape.
@@ -35,7 +35,7 @@ SELECTORS = ((1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10
 HEAD, TAIL = b"S8BTOK01", b"S8BEND01"
 BLOCK = 65_536
 #: Rows whose texts are held as Python strings at a time.
-SLICE_ROWS = 2000
+SLICE_ROWS = 1000
 END_ID = 2
 
 
@@ -213,6 +213,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col
                     writer = Writer(stream)
                 writer.add(doc, np.concatenate([np.frombuffer(got, "<u4"), end]))
                 n_docs, n_tokens = n_docs + 1, n_tokens + len(got) // 4 + 1
+        encoder.known.clear()
+        tidy()
         if writer is not None:
             writer.close()
             stream.close()
