@@ -58,7 +58,7 @@ STAGES = [
     ("mixing", mixing_sources),
     ("byte_bpe", tokenize),
 ]
-#: The first and last stages can't be told in SQL; tests hold run() against a brute-force version.
+#: The first and last stages can't be told in SQL; each operator has its own brute-force test, a test of run() as a whole is still to come.
 ORACLE_SQL = None
 
 
