@@ -17,10 +17,17 @@ _IRREGULAR = ("\0", "  ", "\n\n", " \n", "\n ", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x
 SLICE_CHARS, BLOCK_CHARS, MOST_PIECES = 1_000_000, 6_000_000, 250_000
 
 
+def irregular(text: str) -> bool:
+    return any(x in text for x in _IRREGULAR)
+
+
+def mark(text: str) -> str:
+    """A text that isn't irregular, with a mark between its pieces."""
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+
+
 def cut(text: str) -> list[str]:
-    if any(x in text for x in _IRREGULAR):
-        return _BOUNDARY.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    return _BOUNDARY.split(text) if irregular(text) else mark(text).split("\0")
 
 
 def runs(texts: list[str], chars: int):

@@ -18,24 +18,26 @@ import os
 import struct
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.llm.common import materialise, parts_for, tidy, work_path
-from linkmill.llm.pieces import PieceEncoder
+from linkmill.llm.pieces import SLICE_CHARS, irregular, mark, runs
 
 #: Fixed values of the format: (ids in a word, bits of each) by selector; 0 is the escape.
 SELECTORS = ((1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 HEAD, TAIL = b"S8BTOK01", b"S8BEND01"
 BLOCK = 65_536
 #: Rows whose texts are held as Python strings at a time.
-SLICE_ROWS = 1000
+SLICE_ROWS = 10_000
+#: Pieces encoded by one call, and characters of texts whose pieces are told apart together.
+JOINED, JOINED_CHARS = 2000, 16_000_000
 END_ID = 2
 
 
@@ -179,18 +181,85 @@ def read_file(f):
         held, n_held = [every[n:]], n_held - n
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+class BlockEncoder:
+    """Ids of texts by the tokenizers library, each distinct piece of a block of texts once and many pieces to a call.
 
+    Texts are cut as in pieces.py and their pieces told apart by Arrow. Those that begin with a space are joined as they are,
+    those with no white space by line feeds; the pre-tokenizer splits at each of these joints. Tokens are dealt to pieces
+    where the bytes of a piece end; the library gives a byte one character. A run whose tokens don't end there is encoded
+    piece by piece, and texts with other white space text by text.
+    """
 
-def _encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        tokenizer.no_truncation()
-        _ENCODERS[path] = PieceEncoder(lambda pieces: [array("I", e.ids).tobytes() for k in range(0, len(pieces), 20_000) for e in tokenizer.encode_batch_fast(pieces[k : k + 20_000], add_special_tokens=False)])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def texts(self, texts: list[str]):
+        """Yields the ids of each text, whole, in order."""
+        for a, b in runs(texts, JOINED_CHARS):
+            odd = [irregular(t) for t in texts[a:b]]
+            regular = self._regular([t for t, o in zip(texts[a:b], odd, strict=True) if not o])
+            for t, o in zip(texts[a:b], odd, strict=True):
+                yield self._ids(t) if o else next(regular)
+
+    def _regular(self, texts: list[str]):
+        if not texts:
+            return
+        marked = pa.array([mark(t) for t in texts], pa.large_string())
+        lists = pc.split_pattern(marked, "\0")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        del marked, lists
+        ids, start, count = self._distinct(coded.dictionary)
+        code = coded.indices.to_numpy()
+        for first, last in runs(texts, SLICE_CHARS):
+            here = code[bounds[first] : bounds[last]]
+            n = count[here]
+            ends = np.cumsum(n)
+            got = ids[np.repeat(start[here] - ends + n, n) + np.arange(int(ends[-1]))]
+            cuts = np.concatenate([[0], ends])[bounds[first : last + 1] - bounds[first]].tolist()
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                yield got[x:y]
+
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct pieces one after another, and where each piece's start and how many they are."""
+        sizes = pc.binary_length(pieces).to_numpy().astype(np.int64)
+        spaced = pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False)
+        feed = pc.equal(pieces, "\n").to_numpy(zero_copy_only=False)
+        start, count = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        ids, held = [], 0
+        for places, gap in ((np.flatnonzero(spaced), ""), (np.flatnonzero(~spaced & ~feed & (sizes > 0)), "\n"), (np.flatnonzero(feed), "")):
+            for k in range(0, len(places), JOINED):
+                some = places[k : k + JOINED]
+                names = pieces.take(pa.array(some)).to_pylist()
+                got = self._ids(gap.join(names))
+                ends = np.cumsum(sizes[some] + len(gap)) - len(gap)
+                upto = np.concatenate([[0], np.cumsum(self.sizes[got])])
+                first, last = np.searchsorted(upto, ends - sizes[some]), np.searchsorted(upto, ends)
+                if upto[-1] != ends[-1] or (upto[first] != ends - sizes[some]).any() or (upto[last] != ends).any():
+                    each = [self._ids(p) for p in names]
+                    got, last = np.concatenate(each), np.cumsum([len(e) for e in each])
+                    first = np.concatenate([[0], last[:-1]])
+                start[some], count[some] = held + first, last - first
+                ids.append(got)
+                held += len(got)
+        return np.concatenate(ids) if ids else np.zeros(0, "<u4"), start, count
+
+
+_ENCODERS: dict[str, BlockEncoder] = {}
+
+
+def _encoder(path: str) -> BlockEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = BlockEncoder(path)
     return _ENCODERS[path]
 
 
@@ -211,9 +280,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col
                     fs.create_dir(base, recursive=True)
                     stream = fs.open_output_stream(attempt, compression=None)
                     writer = Writer(stream)
-                writer.add(doc, np.concatenate([np.frombuffer(got, "<u4"), end]))
-                n_docs, n_tokens = n_docs + 1, n_tokens + len(got) // 4 + 1
-        encoder.known.clear()
+                writer.add(doc, np.concatenate([got, end]))
+                n_docs, n_tokens = n_docs + 1, n_tokens + len(got) + 1
         tidy()
         if writer is not None:
             writer.close()
