@@ -37,7 +37,7 @@ BLOCK = 65_536
 #: Rows whose texts are held as Python strings at a time.
 SLICE_ROWS = 10_000
 #: Pieces encoded by one call, and characters of texts whose pieces are told apart together.
-JOINED, JOINED_CHARS = 2000, 16_000_000
+JOINED, JOINED_CHARS = 400, 16_000_000
 END_ID = 2
 
 
