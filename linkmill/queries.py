@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linkmill.config import DEFAULTS
 from linkmill.functions import text as X
-from linkmill.operators import audit, blocking, evaluate, normalize, validate
+from linkmill.operators import audit, blocking, ceilings, evaluate, normalize, validate
 from linkmill.sources import readers
 
 QUERIES: dict = {}
@@ -406,6 +406,47 @@ def _(spark, d):
     return evaluate.macro_fbeta(s1, part_truth(spark, d), c)
 
 
+# ---- diagnostics of rare-token blocking
+
+_WATERFALL = "WITH " + _MULTI + ", " + _PT.strip() + """, f AS (SELECT pt.s1, pt.target, true AS raw, bool_or(p.n <= 5) AS pruned, """ + ", ".join(f"bool_or(p.n <= 5 AND p.family = '{f}') AS {f}" for f in ceilings.WATERFALL) + """
+  FROM pt JOIN mk t ON t.entity_id = pt.target AND t.country = pt.country JOIN post p ON p.entity_id = pt.s1 AND p.country = t.country AND p.family = t.family AND p.key = t.key GROUP BY ALL)
+SELECT count(*) AS pairs, count(*) FILTER (raw) AS raw_covered, count(*) FILTER (pruned) AS pruned_recovered, count(*) FILTER (raw AND NOT pruned) AS lost_all_suppressed""" + "".join(
+    f", count(*) FILTER ({f}) AS {f}_recovered, count(*) FILTER ({' AND '.join([f, *['NOT ' + e for e in ceilings.WATERFALL[:i]]])}) AS {f}_new" for i, f in enumerate(ceilings.WATERFALL)
+) + " FROM pt LEFT JOIN f USING (s1, target)"
+_CEILING = _MULTI + ", " + _PT.strip() + """, r AS (SELECT * FROM (VALUES ('current', 12, 2), ('df100', 100, 4), ('df300', 300, 4), ('df1000', 1000, 4)) v(rule, lim, most)),
+cs AS (SELECT * FROM (SELECT t.country, t.entity_id, t.view, rule, t.token, most, row_number() OVER (PARTITION BY t.country, t.entity_id, t.view, rule ORDER BY df, t.token) AS rn
+  FROM tok t JOIN df ON t.country = df.country AND t.view = df.view AND t.token = df.token CROSS JOIN r WHERE df <= lim) WHERE rn <= most),
+ck AS (SELECT country, entity_id, rule, view AS kind, token FROM cs
+  UNION ALL SELECT country, entity_id, rule, 'address_pair', string_agg(token, chr(31) ORDER BY token) FROM cs WHERE view = 'address' AND rn <= 2 GROUP BY 1, 2, 3 HAVING count(*) >= 2
+  UNION ALL SELECT DISTINCT country, entity_id, rule, 'number', num FROM (SELECT country, entity_id, unnest(nums[1:2]) AS num FROM norm) CROSS JOIN r),
+ch AS (SELECT pt.s1, pt.target, a.rule, """ + ", ".join(f"bool_or(a.kind = '{k}') AS {k}_hit" for k in ceilings.KINDS) + """
+  FROM pt JOIN ck a ON a.entity_id = pt.s1 AND a.country = pt.country JOIN ck b ON b.entity_id = pt.target AND b.country = pt.country AND b.rule = a.rule AND b.kind = a.kind AND b.token = a.token GROUP BY ALL),
+cp AS (SELECT pt.*, r.rule, """ + ", ".join(f"coalesce({k}_hit, false) AS {k}_hit" for k in ceilings.KINDS) + """ FROM pt CROSS JOIN r LEFT JOIN ch ON ch.s1 = pt.s1 AND ch.target = pt.target AND ch.rule = r.rule)"""
+
+
+@query("a24_multikey_waterfall", _WATERFALL)
+def _(spark, d):
+    return ceilings.waterfall(*sides(spark, d), part_truth(spark, d), MULTI)
+
+
+@query("j13_key_ceiling_pairs", "WITH " + _CEILING + " SELECT * FROM cp")
+def _(spark, d):
+    return ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), MULTI)
+
+
+@query("a30_key_ceiling_coverage", "WITH " + _CEILING + """ SELECT rule, country, source, count(*) AS gt_pairs, count(*) FILTER (c) AS covered, round(count(*) FILTER (c) / count(*), 6) AS coverage
+FROM (SELECT *, name_hit OR (number_hit AND address_hit) OR address_pair_hit OR translit_hit AS c FROM cp) GROUP BY GROUPING SETS ((rule), (rule, country, source))""")
+def _(spark, d):
+    return ceilings.ceiling_coverage(ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), MULTI))
+
+
+# names of part are ASCII, so nothing is eligible; tests/test_ceilings.py has other names
+@query("a31_translit_diagnostics", "SELECT " + ", ".join(f"count(*) FILTER (p_name <> strip_accents(p_name)) AS {c}" for c in ("targets_eligible", "targets_with_translit_keys", "stored_targets", "pairs_sharing", "pairs_unique", "pairs_sharing_name", "cross_namespace", "cross_namespace_lost")) + ", false AS issue FROM part")
+def _(spark, d):
+    s1, t = sides(spark, d)
+    return ceilings.translit_diagnostics(s1, t, part_truth(spark, d), blocking.multikey_candidates(s1, t, MULTI), MULTI)
+
+
 @query("a11_histogram_quantile", "SELECT p_type, min(p_size)::BIGINT AS value FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_size) AS rn, count(*) OVER (PARTITION BY p_type) AS n FROM part) WHERE rn >= floor((n - 1) * 0.95) + 1 GROUP BY 1")
 def _(spark, d):
     return evaluate.histogram_quantile(table(spark, d, "part").withColumn("p_size", F.col("p_size").cast("long")), "p_size", 0.95, "p_type")

@@ -8,7 +8,7 @@ duckdb = pytest.importorskip("duckdb")
 D = "/root/testdata/sf0.001"
 from linkmill import queries as Q  # noqa: E402
 
-NAMES = ["j1_exact_candidates", "w4_multikey_candidates", "a18_cardinality", "a19_distractors", "a26_union_metrics", "f5_f12_name_views", "a7_text_quantiles"]
+NAMES = ["j1_exact_candidates", "w4_multikey_candidates", "a18_cardinality", "a19_distractors", "a26_union_metrics", "f5_f12_name_views", "a7_text_quantiles", "a24_multikey_waterfall", "j13_key_ceiling_pairs", "a30_key_ceiling_coverage", "a31_translit_diagnostics"]
 
 
 def shown(v):
