@@ -9,7 +9,8 @@ ranges' sizes are summed and scanned, and only the one range in which the budget
 functions only.
 
 Defined results: a null text has size 0; null sources are one source, ordered last; documents of equal keys are ordered by
-id and size; repeated rows are taken one by one in any order; other columns pass through; an empty table gives an empty one.
+id and size; repeated rows are taken one by one in any order; other columns pass through as `keep` names them, whatever their
+names; an empty table gives an empty one.
 The document at which a budget ends is taken if that brings the source nearer to its target.
 """
 
@@ -51,21 +52,27 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
     return rows.select("_source", "source_size", "n_docs", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
-    """(row_key, id, _source, size, source_size, target, copies): how often the mix takes each row of docs."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(row_key, id, _source, size, source_size, target, copies, _row): how often the mix takes each row of docs.
+
+    _row is a struct of the columns `keep`; without any there is no such column.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    carried = [F.struct(*keep).alias("_row")] if keep else []
+    held_columns = ["_row"] if keep else []
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.col(source_col).alias("_source"),
         F.xxhash64(F.col(id_col), text, F.col(source_col)).alias("row_key"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.length(text).alias("_chars"),
+        *carried,
     )
     digits = F.substring(F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary")), 1, 13)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
     mean = F.col("_chars") / F.greatest(F.col("size"), F.lit(1))
     w = F.greatest(F.lit(0.25), F.lit(1.0) - F.abs(mean - (WORD_LENGTH + 1)) / 10.0)
-    rows = materialise(rows.select("_id", "_source", "row_key", "size", (-F.log(u) / w).alias("key")), "mix-rows")
+    rows = materialise(rows.select("_id", "_source", "row_key", "size", (-F.log(u) / w).alias("key"), *held_columns), "mix-rows")
     sizes = rows.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes, weights, share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -88,7 +95,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     nearer = (F.col("prior") < F.col("rest")) & (F.col("prior") + F.col("size") - F.col("rest") <= F.col("rest") - F.col("prior"))
     edge = edge.withColumn("picked", F.when(nearer, 1).otherwise(0)).drop("prior")
     others = ended.where(~F.coalesce(in_range, F.lit(False))).withColumn("picked", F.when((F.col("rest") > 0) & (F.col("range") < F.coalesce("end_range", F.lit(1 << 62))), 1).otherwise(0))
-    return edge.unionByName(others).select("row_key", F.col("_id"), "_source", "size", "source_size", "target", (F.col("epochs") + F.col("picked")).alias("copies"))
+    return edge.unionByName(others).select("row_key", F.col("_id"), "_source", "size", "source_size", "target", (F.col("epochs") + F.col("picked")).alias("copies"), *held_columns)
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
