@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkmill.llm import bpe, langid, lines, mixing, ngram_join
-from linkmill.llm.common import materialise, small
+from linkmill.llm.common import materialise, small, text_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, lang set to it; those judged `und` go."""
+    text_batches(spark)
     out = langid.identify(docs, langid.fit(docs))
     return out.where(F.col("_lang_pred") != langid.UND).withColumn("lang", F.col("_lang_pred")).select(*COLUMNS)
 
@@ -33,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A document is told by a hash of its id and text, so that documents with a null id or with one id and different texts
     are judged each for itself.
     """
+    text_batches(spark)
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.length("text"), "text")
     keyed = docs.withColumn("_key", key)
     groups = ngram_join.near_groups(keyed, id_col="_key").where("n_shingles > 0").select(F.col("id").alias("_key"), "component_id").distinct()
@@ -58,6 +60,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and digests of the ids and of the bytes that they decode to."""
     import public_tokenizers
 
+    text_batches(spark)
     out = bpe.encode_decode(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False)
     return out.selectExpr("doc_id", "source", "_n_tokens AS n_tokens", "_ids_sha256 AS ids_sha256", "_decoded_sha256 AS decoded_sha256")
 

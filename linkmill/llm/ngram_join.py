@@ -248,6 +248,7 @@ def _told(batches):
         for places, counts, _ in answers:
             shared[places] += counts
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64(), mask=nulls), pa.array(sizes), pa.array(s1), pa.array(s2), pa.array(shared)], ["id", "n", "s1", "s2", "shared"])
+    tidy()
 
 
 def _rare(least: int):
@@ -265,6 +266,7 @@ def _rare(least: int):
             first = sizes - -(-sizes * least // 100) + 1 - (sizes - shared)
             kept = np.arange(len(places)) - heads[places] < first[places]
             yield pa.RecordBatch.from_arrays([pa.array(tokens[kept].astype(np.int64)), pa.array(ids[places[kept]])], ["token", "id"])
+        tidy()
 
     return run
 
@@ -369,6 +371,8 @@ def _search_groups(least: int):
                 sets.append(np.frombuffer(s, "<u8"))
         if len(ids) > 1:
             yield done()
+        ids, sets = [], []
+        tidy()
 
     return run
 
