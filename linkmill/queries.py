@@ -295,114 +295,114 @@ def _(spark, d):
 
 
 @query("p7_signal_keys", "WITH " + _KEYS + " SELECT country, entity_id, signal::BIGINT AS signal, key FROM keys")
-def _(spark, d):
-    return blocking.signal_keys(normalized(spark, d), EXACT).select("country", "entity_id", F.col("signal").cast("long").alias("signal"), "key")
+def _(spark, d, exact=EXACT):
+    return blocking.signal_keys(normalized(spark, d), exact).select("country", "entity_id", F.col("signal").cast("long").alias("signal"), "key")
 
 
 @query("w1_bucket_sizes", "WITH " + _KEYS + " SELECT entity_id, signal::BIGINT AS signal, key, n AS bucket_size FROM idx")
-def _(spark, d):
-    return blocking.bucket_sizes(blocking.signal_keys(sides(spark, d)[0], EXACT)).select("entity_id", F.col("signal").cast("long").alias("signal"), "key", "bucket_size")
+def _(spark, d, exact=EXACT):
+    return blocking.bucket_sizes(blocking.signal_keys(sides(spark, d)[0], exact)).select("entity_id", F.col("signal").cast("long").alias("signal"), "key", "bucket_size")
 
 
 @query("j1_exact_candidates", "WITH " + _EXACT + " SELECT *, (exact_hit::INT + 2 * structured_hit::INT)::BIGINT AS retriever_mask, (exact_hit::INT + structured_hit::INT)::BIGINT AS retriever_count, left(target_entity_id, 2) AS target_source FROM a")
-def _(spark, d):
-    return blocking.exact_candidates(*sides(spark, d), EXACT)
+def _(spark, d, exact=EXACT):
+    return blocking.exact_candidates(*sides(spark, d), exact)
 
 
 @query("a21_suppression", "WITH " + _KEYS + """, i AS (SELECT country, signal, key, count(*) AS n FROM keys WHERE src = 'S1' GROUP BY ALL), q AS (SELECT country, signal, key, count(*) AS c FROM keys WHERE src <> 'S1' GROUP BY ALL)
 SELECT i.signal::BIGINT AS signal, count(*) AS index_keys, coalesce(sum(c), 0)::BIGINT AS queries_hitting_key, coalesce(sum(c) FILTER (n > 3), 0)::BIGINT AS suppressed, max(n) AS largest_bucket, round(quantile_cont(n, 0.95), 6) AS p95_bucket
 FROM i LEFT JOIN q ON i.country = q.country AND i.signal = q.signal AND i.key = q.key GROUP BY 1""")
-def _(spark, d):
-    return blocking.suppression(*sides(spark, d), EXACT).withColumn("signal", F.col("signal").cast("long"))
+def _(spark, d, exact=EXACT):
+    return blocking.suppression(*sides(spark, d), exact).withColumn("signal", F.col("signal").cast("long"))
 
 
 @query("a22_exact_recall", "WITH " + _EXACT + "," + _PT + """, x AS (SELECT pt.*, coalesce(exact_hit, false) AS e, coalesce(structured_hit, false) AS s FROM pt LEFT JOIN a ON a.target_entity_id = pt.target AND a.candidate_s1_entity_id = pt.s1)
 SELECT country, source, count(*) AS pairs, count(*) FILTER (e) AS exact, count(*) FILTER (s) AS structured, count(*) FILTER (e OR s) AS any_hit, count(*) FILTER (e AND NOT s) AS only_exact, round(count(*) FILTER (e OR s) / count(*), 6) AS recall FROM x GROUP BY GROUPING SETS ((), (country, source))""")
-def _(spark, d):
-    return evaluate.exact_recall(part_truth(spark, d), blocking.exact_candidates(*sides(spark, d), EXACT))
+def _(spark, d, exact=EXACT):
+    return evaluate.exact_recall(part_truth(spark, d), blocking.exact_candidates(*sides(spark, d), exact))
 
 
 @query("a23_candidate_volume", "WITH " + _EXACT + """, v AS (SELECT entity_id, count(a.target_entity_id) AS n FROM norm LEFT JOIN a ON a.target_entity_id = entity_id WHERE src <> 'S1' GROUP BY 1)
 SELECT count(*) AS targets, round(avg(n), 6) AS mean, round(quantile_cont(n, 0.5), 6) AS p50, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99, max(n) AS most,
   count(*) FILTER (n = 0) AS bin_0, count(*) FILTER (n = 1) AS bin_1, count(*) FILTER (n BETWEEN 2 AND 5) AS bin_2_5, count(*) FILTER (n BETWEEN 6 AND 10) AS bin_6_10, count(*) FILTER (n > 10) AS bin_over_10 FROM v""")
-def _(spark, d):
+def _(spark, d, exact=EXACT):
     s1, t = sides(spark, d)
-    return evaluate.volume(t, blocking.exact_candidates(s1, t, EXACT))
+    return evaluate.volume(t, blocking.exact_candidates(s1, t, exact))
 
 
 @query("v4_candidate_violations", "SELECT '' AS target_entity_id, '' AS candidate_s1_entity_id, '' AS rule WHERE false")
-def _(spark, d):
-    return validate.candidate_violations(blocking.exact_candidates(*sides(spark, d), EXACT))
+def _(spark, d, exact=EXACT):
+    return validate.candidate_violations(blocking.exact_candidates(*sides(spark, d), exact))
 
 
 # ---- multikey blocking
 
 
 @query("a13_token_frequencies", "WITH " + _MULTI + " SELECT country, view, token, df FROM df")
-def _(spark, d):
-    return blocking.token_frequencies(blocking.record_tokens(sides(spark, d)[0], MULTI))
+def _(spark, d, multi=MULTI):
+    return blocking.token_frequencies(blocking.record_tokens(sides(spark, d)[0], multi))
 
 
 @query("w3_rare_tokens", "WITH " + _MULTI + " SELECT entity_id, view, token, df, rn AS place FROM sel")
-def _(spark, d):
+def _(spark, d, multi=MULTI):
     n = normalized(spark, d)
-    df = blocking.token_frequencies(blocking.record_tokens(n.where("src = 'S1'"), MULTI))
-    return blocking.rare_tokens(blocking.record_tokens(n, MULTI), df, MULTI).select("entity_id", "view", "token", "df", F.col("place").cast("long").alias("place"))
+    df = blocking.token_frequencies(blocking.record_tokens(n.where("src = 'S1'"), multi))
+    return blocking.rare_tokens(blocking.record_tokens(n, multi), df, multi).select("entity_id", "view", "token", "df", F.col("place").cast("long").alias("place"))
 
 
 @query("a14_key_frequencies", "WITH " + _MULTI + " SELECT country, family, key, count(*) AS df FROM mk WHERE src = 'S1' GROUP BY ALL")
-def _(spark, d):
+def _(spark, d, multi=MULTI):
     s1 = sides(spark, d)[0]
-    df = blocking.token_frequencies(blocking.record_tokens(s1, MULTI))
-    return blocking.multikeys(s1, df, MULTI).groupBy("country", "family", "key").agg(F.count("*").alias("df"))
+    df = blocking.token_frequencies(blocking.record_tokens(s1, multi))
+    return blocking.multikeys(s1, df, multi).groupBy("country", "family", "key").agg(F.count("*").alias("df"))
 
 
 @query("w4_multikey_candidates", "WITH " + _MULTI + " SELECT country, target_entity_id, candidate_s1_entity_id, round(sum_idf, 6) AS sum_idf, c AS blocker_signal_count, min_df AS blocker_min_key_df, blocker_rank FROM b")
-def _(spark, d):
-    return blocking.multikey_candidates(*sides(spark, d), MULTI).select("country", "target_entity_id", "candidate_s1_entity_id", F.round("sum_idf", 6).alias("sum_idf"), "blocker_signal_count", "blocker_min_key_df", "blocker_rank")
+def _(spark, d, multi=MULTI):
+    return blocking.multikey_candidates(*sides(spark, d), multi).select("country", "target_entity_id", "candidate_s1_entity_id", F.round("sum_idf", 6).alias("sum_idf"), "blocker_signal_count", "blocker_min_key_df", "blocker_rank")
 
 
 # ---- union evaluation
 
 
-def hits(spark, d) -> DataFrame:
+def hits(spark, d, exact=EXACT, multi=MULTI) -> DataFrame:
     s1, t = sides(spark, d)
-    return evaluate.truth_hits(part_truth(spark, d), blocking.exact_candidates(s1, t, EXACT), blocking.multikey_candidates(s1, t, MULTI))
+    return evaluate.truth_hits(part_truth(spark, d), blocking.exact_candidates(s1, t, exact), blocking.multikey_candidates(s1, t, multi))
 
 
 @query("j9_truth_hits", "WITH " + _HITS + " SELECT * FROM h")
-def _(spark, d):
-    return hits(spark, d).select("s1", "target", "source", "country", "a_hit", "b_rank")
+def _(spark, d, exact=EXACT, multi=MULTI):
+    return hits(spark, d, exact, multi).select("s1", "target", "source", "country", "a_hit", "b_rank")
 
 
 @query("a26_union_metrics", "WITH " + _HITS + ", x AS (SELECT *, coalesce(b_rank <= 50, false) AS bh FROM h) SELECT country, source, count(*) AS pairs, count(*) FILTER (a_hit) AS a, count(*) FILTER (bh) AS b, count(*) FILTER (a_hit AND bh) AS both, count(*) FILTER (a_hit AND NOT bh) AS a_only, count(*) FILTER (bh AND NOT a_hit) AS b_only, count(*) FILTER (a_hit OR bh) AS either FROM x GROUP BY GROUPING SETS ((), (country, source))")
-def _(spark, d):
-    return evaluate.union_metrics(hits(spark, d))
+def _(spark, d, exact=EXACT, multi=MULTI):
+    return evaluate.union_metrics(hits(spark, d, exact, multi))
 
 
 @query("a27_recall_at_k", "WITH " + _HITS + ", k AS (SELECT unnest([1, 3, 5, 10, 20, 50])::BIGINT AS k) SELECT k, count(*) AS pairs, count(*) FILTER (coalesce(b_rank <= k, false)) AS b_hits, count(*) FILTER (coalesce(b_rank <= k, false) OR a_hit) AS union_hits, round(count(*) FILTER (coalesce(b_rank <= k, false) OR a_hit) / count(*), 6) AS union_recall FROM h, k GROUP BY k")
-def _(spark, d):
-    return evaluate.recall_at(hits(spark, d))
+def _(spark, d, exact=EXACT, multi=MULTI):
+    return evaluate.recall_at(hits(spark, d, exact, multi))
 
 
 @query("a28_oracle_macro_f05", "WITH " + _HITS + ", g AS (SELECT s1, count(*) AS g, count(*) FILTER (a_hit OR coalesce(b_rank <= 50, false)) AS r FROM h GROUP BY 1) SELECT count(*) AS entities, round(avg(CASE WHEN g IS NULL THEN 1 WHEN r = 0 THEN 0 ELSE 1.25 * r / (0.25 * g + r) END), 6) AS oracle_f05 FROM norm LEFT JOIN g ON g.s1 = entity_id WHERE src = 'S1'")
-def _(spark, d):
-    return evaluate.oracle_macro(sides(spark, d)[0], hits(spark, d))
+def _(spark, d, exact=EXACT, multi=MULTI):
+    return evaluate.oracle_macro(sides(spark, d)[0], hits(spark, d, exact, multi))
 
 
 @query("a29_union_volume", "WITH " + _HITS + """, u AS (SELECT target_entity_id AS t, candidate_s1_entity_id AS c, max(ia) AS ia, min(r) AS r FROM (SELECT target_entity_id, candidate_s1_entity_id, 1 AS ia, NULL AS r FROM a UNION ALL SELECT target_entity_id, candidate_s1_entity_id, 0, blocker_rank FROM b) GROUP BY ALL),
 k AS (SELECT unnest([5, 10, 20, 50])::BIGINT AS k), v AS (SELECT k, entity_id, count(*) FILTER (ia = 1 OR coalesce(r <= k, false)) FILTER (true) AS n FROM norm CROSS JOIN k LEFT JOIN u ON u.t = entity_id WHERE src <> 'S1' GROUP BY ALL)
 SELECT k, count(*) AS targets, sum(n)::BIGINT AS candidates, quantile_disc(n, 0.5) AS p50, quantile_disc(n, 0.95) AS p95, max(n) AS most FROM v GROUP BY k""".replace(" FILTER (true)", ""))
-def _(spark, d):
+def _(spark, d, exact=EXACT, multi=MULTI):
     s1, t = sides(spark, d)
-    return evaluate.union_volume(t, blocking.exact_candidates(s1, t, EXACT), blocking.multikey_candidates(s1, t, MULTI))
+    return evaluate.union_volume(t, blocking.exact_candidates(s1, t, exact), blocking.multikey_candidates(s1, t, multi))
 
 
 @query("a33_entity_fbeta", "WITH " + _EXACT + "," + _PT + """, x AS (SELECT coalesce(pt.s1, a.candidate_s1_entity_id) AS s1, count(pt.s1) AS nt, count(a.target_entity_id) AS np, count(*) FILTER (pt.s1 IS NOT NULL AND a.target_entity_id IS NOT NULL) AS tp FROM pt FULL JOIN a ON a.target_entity_id = pt.target AND a.candidate_s1_entity_id = pt.s1 GROUP BY 1)
 SELECT count(*) AS entities, round(avg(CASE WHEN coalesce(x.nt, 0) = 0 AND coalesce(x.np, 0) = 0 THEN 1 WHEN coalesce(tp, 0) = 0 THEN 0 ELSE 1.25 * (tp / x.np) * (tp / x.nt) / (0.25 * (tp / x.np) + tp / x.nt) END), 6) AS macro_f FROM norm LEFT JOIN x ON x.s1 = entity_id WHERE src = 'S1'""")
-def _(spark, d):
+def _(spark, d, exact=EXACT):
     s1, t = sides(spark, d)
-    c = blocking.exact_candidates(s1, t, EXACT).select(F.col("candidate_s1_entity_id").alias("s1"), F.col("target_entity_id").alias("target"))
+    c = blocking.exact_candidates(s1, t, exact).select(F.col("candidate_s1_entity_id").alias("s1"), F.col("target_entity_id").alias("target"))
     return evaluate.macro_fbeta(s1, part_truth(spark, d), c)
 
 
@@ -425,26 +425,26 @@ cp AS (SELECT pt.*, r.rule, """ + ", ".join(f"coalesce({k}_hit, false) AS {k}_hi
 
 
 @query("a24_multikey_waterfall", _WATERFALL)
-def _(spark, d):
-    return ceilings.waterfall(*sides(spark, d), part_truth(spark, d), MULTI)
+def _(spark, d, multi=MULTI):
+    return ceilings.waterfall(*sides(spark, d), part_truth(spark, d), multi)
 
 
 @query("j13_key_ceiling_pairs", "WITH " + _CEILING + " SELECT * FROM cp")
-def _(spark, d):
-    return ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), MULTI)
+def _(spark, d, multi=MULTI):
+    return ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), multi)
 
 
 @query("a30_key_ceiling_coverage", "WITH " + _CEILING + """ SELECT rule, country, source, count(*) AS gt_pairs, count(*) FILTER (c) AS covered, round(count(*) FILTER (c) / count(*), 6) AS coverage
 FROM (SELECT *, name_hit OR (number_hit AND address_hit) OR address_pair_hit OR translit_hit AS c FROM cp) GROUP BY GROUPING SETS ((rule), (rule, country, source))""")
-def _(spark, d):
-    return ceilings.ceiling_coverage(ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), MULTI))
+def _(spark, d, multi=MULTI):
+    return ceilings.ceiling_coverage(ceilings.key_ceiling_pairs(*sides(spark, d), part_truth(spark, d), multi))
 
 
 # names of part are ASCII, so nothing is eligible; tests/test_ceilings.py has other names
 @query("a31_translit_diagnostics", "SELECT " + ", ".join(f"count(*) FILTER (p_name <> strip_accents(p_name)) AS {c}" for c in ("targets_eligible", "targets_with_translit_keys", "stored_targets", "pairs_sharing", "pairs_unique", "pairs_sharing_name", "cross_namespace", "cross_namespace_lost")) + ", false AS issue FROM part")
-def _(spark, d):
+def _(spark, d, multi=MULTI):
     s1, t = sides(spark, d)
-    return ceilings.translit_diagnostics(s1, t, part_truth(spark, d), blocking.multikey_candidates(s1, t, MULTI), MULTI)
+    return ceilings.translit_diagnostics(s1, t, part_truth(spark, d), blocking.multikey_candidates(s1, t, multi), multi)
 
 
 @query("a11_histogram_quantile", "SELECT p_type, min(p_size)::BIGINT AS value FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_size) AS rn, count(*) OVER (PARTITION BY p_type) AS n FROM part) WHERE rn >= floor((n - 1) * 0.95) + 1 GROUP BY 1")

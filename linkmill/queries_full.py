@@ -1,0 +1,42 @@
+"""The capped queries once more under the production caps of DEFAULTS, as NAME_production with SQL of their own.
+
+Those of queries.py and queries_parts.py keep the smoke caps EXACT and MULTI that their SQL has written in.
+"""
+
+from __future__ import annotations
+
+import functools
+import inspect
+
+from linkmill import queries_parts as _parts  # noqa: F401  registers its queries first
+from linkmill.config import DEFAULTS
+from linkmill.queries import QUERIES, SQL
+
+EXACT = DEFAULTS["exact"]
+
+
+def _by_signal(alias: str = "") -> str:
+    return f"CASE WHEN {alias}signal <= 4 THEN {EXACT['cap_exact']} ELSE {EXACT['cap_structured']} END"
+
+
+#: What the SQL of the smoke caps says, and what it says under the production caps.
+CHANGES = {"i.n <= 3": f"i.n <= {_by_signal('i.')}", "FILTER (n <= 3)": f"FILTER (n <= {_by_signal()})", "FILTER (n > 3)": f"FILTER (n > {_by_signal('i.')})"}
+#: Their SQL names no cap, their result must hold under any.
+ANY_CAP = {"v4_candidate_violations", "p13_v2_partition_violations"}
+
+
+def production_sql(sql: str) -> str:
+    for old, new in CHANGES.items():
+        sql = sql.replace(old, new)
+    return sql
+
+
+def register() -> None:
+    for name, f in list(QUERIES.items()):
+        takes = set(inspect.signature(f).parameters) & {"exact", "multi"}
+        if takes == {"exact"} and (name in ANY_CAP or production_sql(SQL[name]) != SQL[name]):
+            QUERIES[f"{name}_production"] = functools.partial(f, **{k: DEFAULTS["exact" if k == "exact" else "multikey"] for k in takes})
+            SQL[f"{name}_production"] = production_sql(SQL[name])
+
+
+register()

@@ -72,57 +72,57 @@ def _(spark, d):
 
 
 @query("p8_bucket_cap", "WITH " + _EXACT + " SELECT signal::BIGINT AS signal, count(*) AS entries, count(*) FILTER (n <= 3) AS kept FROM idx GROUP BY 1")
-def _(spark, d):
-    k = blocking.bucket_sizes(blocking.signal_keys(sides(spark, d)[0], EXACT))
+def _(spark, d, exact=EXACT):
+    k = blocking.bucket_sizes(blocking.signal_keys(sides(spark, d)[0], exact))
     return k.groupBy(F.col("signal").cast("long").alias("signal")).agg(F.count("*").alias("entries"), F.count_if(F.col("bucket_size") <= F.col("cap")).alias("kept"))
 
 
 @query("p9_df_eligibility", M + " SELECT view, count(*) AS tokens, count(*) FILTER (df <= 12) AS eligible FROM df GROUP BY 1")
-def _(spark, d):
-    df = blocking.token_frequencies(blocking.record_tokens(sides(spark, d)[0], MULTI))
-    most = F.when(F.col("view") == "address", MULTI["address_max_df"]).otherwise(MULTI["name_max_df"])
+def _(spark, d, multi=MULTI):
+    df = blocking.token_frequencies(blocking.record_tokens(sides(spark, d)[0], multi))
+    most = F.when(F.col("view") == "address", multi["address_max_df"]).otherwise(multi["name_max_df"])
     return df.groupBy("view").agg(F.count("*").alias("tokens"), F.count_if(F.col("df") <= most).alias("eligible"))
 
 
 @query("p10_translit_eligibility", N + " SELECT count(*) AS records, count(*) FILTER (regexp_matches(name, '[^\\x00-\\x7F]')) AS eligible FROM norm")
-def _(spark, d):
-    t = blocking.record_tokens(normalized(spark, d), MULTI)
+def _(spark, d, multi=MULTI):
+    t = blocking.record_tokens(normalized(spark, d), multi)
     return t.agg(F.count("*").alias("records"), F.count_if(F.size("translit") > 0).alias("eligible"))
 
 
 @query("p11_p12_masks", "WITH " + _EXACT + " SELECT (exact_hit::INT + 2 * structured_hit::INT)::BIGINT AS retriever_mask, (exact_hit::INT + structured_hit::INT)::BIGINT AS retriever_count, count(*) AS n FROM a GROUP BY ALL")
-def _(spark, d):
-    return blocking.exact_candidates(*sides(spark, d), EXACT).groupBy("retriever_mask", "retriever_count").agg(F.count("*").alias("n"))
+def _(spark, d, exact=EXACT):
+    return blocking.exact_candidates(*sides(spark, d), exact).groupBy("retriever_mask", "retriever_count").agg(F.count("*").alias("n"))
 
 
 @query("p13_v2_partition_violations", "SELECT 0::BIGINT AS wrong_country, 0::BIGINT AS wrong_source, 0::BIGINT AS repeated_pairs")
-def _(spark, d):
-    c = blocking.exact_candidates(*sides(spark, d), EXACT).where("target_source = 'S2'")
+def _(spark, d, exact=EXACT):
+    c = blocking.exact_candidates(*sides(spark, d), exact).where("target_source = 'S2'")
     return validate.partition_violations(c, source="S2")
 
 
 @query("v3_multikey_violations", "SELECT '' AS target_entity_id, '' AS candidate_s1_entity_id, '' AS rule WHERE false")
-def _(spark, d):
-    return validate.candidate_violations(blocking.multikey_candidates(*sides(spark, d), MULTI))
+def _(spark, d, multi=MULTI):
+    return validate.candidate_violations(blocking.multikey_candidates(*sides(spark, d), multi))
 
 
 # ---- joins
 
 
 @query("j2_index_probe", M + " SELECT t.country, t.family, count(*) AS hits FROM mk t JOIN post p ON t.country = p.country AND t.family = p.family AND t.key = p.key WHERE t.src <> 'S1' AND p.n <= 5 GROUP BY ALL")
-def _(spark, d):
+def _(spark, d, multi=MULTI):
     s1, t = sides(spark, d)
-    df = blocking.token_frequencies(blocking.record_tokens(s1, MULTI))
-    index = blocking.postings(blocking.multikeys(s1, df, MULTI), MULTI).where("key_df <= cap").select("country", "family", "key")
-    return blocking.multikeys(t, df, MULTI).join(index, ["country", "family", "key"]).groupBy("country", "family").agg(F.count("*").alias("hits"))
+    df = blocking.token_frequencies(blocking.record_tokens(s1, multi))
+    index = blocking.postings(blocking.multikeys(s1, df, multi), multi).where("key_df <= cap").select("country", "family", "key")
+    return blocking.multikeys(t, df, multi).join(index, ["country", "family", "key"]).groupBy("country", "family").agg(F.count("*").alias("hits"))
 
 
 @query("j3_token_frequency_join", M + " SELECT t.entity_id, t.view, t.token, df FROM tok t JOIN df ON t.country = df.country AND t.view = df.view AND t.token = df.token WHERE t.src <> 'S1'")
-def _(spark, d):
+def _(spark, d, multi=MULTI):
     s1, t = sides(spark, d)
-    df = blocking.token_frequencies(blocking.record_tokens(s1, MULTI))
-    every = MULTI | {"name_max_df": 1 << 30, "address_max_df": 1 << 30, "max_tokens": 1 << 30}
-    return blocking.rare_tokens(blocking.record_tokens(t, MULTI), df, every).select("entity_id", "view", "token", "df")
+    df = blocking.token_frequencies(blocking.record_tokens(s1, multi))
+    every = multi | {"name_max_df": 1 << 30, "address_max_df": 1 << 30, "max_tokens": 1 << 30}
+    return blocking.rare_tokens(blocking.record_tokens(t, multi), df, every).select("entity_id", "view", "token", "df")
 
 
 @query("j6_j7_matched_flags", T + " SELECT entity_id, source, entity_id IN (SELECT target FROM p) AS matched FROM t")
@@ -132,16 +132,16 @@ def _(spark, d):
 
 
 @query("j8_j16_candidates_in_truth", BOTH + " SELECT a.target_entity_id, a.candidate_s1_entity_id, pt.s1 IS NOT NULL AS is_true FROM a LEFT JOIN pt ON pt.target = a.target_entity_id AND pt.s1 = a.candidate_s1_entity_id")
-def _(spark, d):
-    c = blocking.exact_candidates(*sides(spark, d), EXACT).select("target_entity_id", "candidate_s1_entity_id")
+def _(spark, d, exact=EXACT):
+    c = blocking.exact_candidates(*sides(spark, d), exact).select("target_entity_id", "candidate_s1_entity_id")
     t = part_truth(spark, d).select(F.col("target").alias("target_entity_id"), F.col("s1").alias("candidate_s1_entity_id")).distinct().withColumn("hit", F.lit(True))
     return c.join(t, ["target_entity_id", "candidate_s1_entity_id"], "left").select("target_entity_id", "candidate_s1_entity_id", F.col("hit").isNotNull().alias("is_true"))
 
 
 @query("j15_volume_join", BOTH + " SELECT entity_id, count(a.target_entity_id) AS n FROM norm LEFT JOIN a ON a.target_entity_id = entity_id WHERE src <> 'S1' GROUP BY 1")
-def _(spark, d):
+def _(spark, d, exact=EXACT):
     s1, t = sides(spark, d)
-    n = blocking.exact_candidates(s1, t, EXACT).groupBy(F.col("target_entity_id").alias("entity_id")).agg(F.count("*").alias("n"))
+    n = blocking.exact_candidates(s1, t, exact).groupBy(F.col("target_entity_id").alias("entity_id")).agg(F.count("*").alias("n"))
     return t.select("entity_id").join(n, "entity_id", "left").fillna(0, ["n"])
 
 
@@ -193,19 +193,19 @@ def _(spark, d):
 
 
 @query("o3_top_candidates", M + " SELECT target_entity_id, candidate_s1_entity_id, blocker_rank FROM b WHERE blocker_rank <= 2")
-def _(spark, d):
-    return blocking.multikey_candidates(*sides(spark, d), MULTI | {"top_k": 2}).select("target_entity_id", "candidate_s1_entity_id", "blocker_rank")
+def _(spark, d, multi=MULTI):
+    return blocking.multikey_candidates(*sides(spark, d), multi | {"top_k": 2}).select("target_entity_id", "candidate_s1_entity_id", "blocker_rank")
 
 
 @query("o5_first_numbers", N + " SELECT entity_id, array_to_string(CASE WHEN len(nums) > 1 AND nums[1] = nums[2] THEN nums[1:1] ELSE nums[1:2] END, '|') AS numbers FROM norm")
-def _(spark, d):
-    return blocking.record_tokens(normalized(spark, d), MULTI).select("entity_id", F.array_join("numbers", "|").alias("numbers"))
+def _(spark, d, multi=MULTI):
+    return blocking.record_tokens(normalized(spark, d), multi).select("entity_id", F.array_join("numbers", "|").alias("numbers"))
 
 
 @query("u1_u2_key_union", "WITH " + _EXACT + " SELECT src, signal::BIGINT AS signal, count(*) AS n FROM keys GROUP BY ALL")
-def _(spark, d):
+def _(spark, d, exact=EXACT):
     n = normalized(spark, d)
-    k = blocking.signal_keys(n, EXACT)
+    k = blocking.signal_keys(n, exact)
     return k.groupBy(F.substring("entity_id", 1, 2).alias("src"), F.col("signal").cast("long").alias("signal")).agg(F.count("*").alias("n"))
 
 
@@ -227,6 +227,6 @@ def _(spark, d):
 
 
 @query("a15_evidence_fold", BOTH + " SELECT target_entity_id, count(*) AS candidates, bool_or(exact_hit) AS any_exact, bool_or(structured_hit) AS any_structured FROM a GROUP BY 1")
-def _(spark, d):
-    c = blocking.exact_candidates(*sides(spark, d), EXACT)
+def _(spark, d, exact=EXACT):
+    c = blocking.exact_candidates(*sides(spark, d), exact)
     return c.groupBy("target_entity_id").agg(F.count("*").alias("candidates"), F.bool_or("exact_hit").alias("any_exact"), F.bool_or("structured_hit").alias("any_structured"))
