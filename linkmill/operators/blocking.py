@@ -140,6 +140,7 @@ def multikey_candidates(reference: DataFrame, targets: DataFrame, config: dict =
         total.alias("sum_idf"), F.count("*").alias("blocker_signal_count"), F.min("key_df").alias("blocker_min_key_df"),
         *[F.bool_or(F.col("family") == f).alias(f"block_{f}_hit") for f in FAMILIES],
     )
-    order = Window.partitionBy("country", "target_entity_id").orderBy(F.desc("sum_idf"), F.desc("blocker_signal_count"), "candidate_s1_entity_id")
+    # rounded, as equal products of other frequencies have sums that differ in the last bit
+    order = Window.partitionBy("country", "target_entity_id").orderBy(F.desc(F.round("sum_idf", 9)), F.desc("blocker_signal_count"), "candidate_s1_entity_id")
     out = pairs.withColumn("blocker_rank", F.row_number().over(order)).where(F.col("blocker_rank") <= config["top_k"])
     return out.withColumn("blocker_rank", F.col("blocker_rank").cast("long")).withColumn("target_source", F.substring("target_entity_id", 1, 2))

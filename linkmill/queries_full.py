@@ -1,6 +1,8 @@
 """The capped queries once more under the production caps of DEFAULTS, as NAME_production with SQL of their own.
 
-Those of queries.py and queries_parts.py keep the smoke caps EXACT and MULTI that their SQL has written in.
+Those of queries.py and queries_parts.py keep the smoke caps EXACT and MULTI that their SQL has written in. Caps, document
+frequencies and top_k are those of production; the shortest tokens stay at 3 and 2 characters, as the longer ones of
+production (4 and 3) would drop keys that the smoke queries find.
 """
 
 from __future__ import annotations
@@ -10,19 +12,27 @@ import inspect
 
 from linkmill import queries_parts as _parts  # noqa: F401  registers its queries first
 from linkmill.config import DEFAULTS
+from linkmill.queries import MULTI as SMOKE
 from linkmill.queries import QUERIES, SQL
 
-EXACT = DEFAULTS["exact"]
+EXACT, MULTI = DEFAULTS["exact"], DEFAULTS["multikey"] | {k: SMOKE[k] for k in ("min_name_token", "min_address_token")}
 
 
 def _by_signal(alias: str = "") -> str:
     return f"CASE WHEN {alias}signal <= 4 THEN {EXACT['cap_exact']} ELSE {EXACT['cap_structured']} END"
 
 
+_BY_FAMILY = "CASE p.family " + " ".join(f"WHEN '{f}' THEN {n}" for f, n in MULTI["caps"].items()) + " END"
+assert MULTI["name_max_df"] == MULTI["address_max_df"]  # the SQL has one limit for both
+
 #: What the SQL of the smoke caps says, and what it says under the production caps.
-CHANGES = {"i.n <= 3": f"i.n <= {_by_signal('i.')}", "FILTER (n <= 3)": f"FILTER (n <= {_by_signal()})", "FILTER (n > 3)": f"FILTER (n > {_by_signal('i.')})"}
+CHANGES = {
+    "i.n <= 3": f"i.n <= {_by_signal('i.')}", "FILTER (n <= 3)": f"FILTER (n <= {_by_signal()})", "FILTER (n > 3)": f"FILTER (n > {_by_signal('i.')})",
+    "df <= 12": f"df <= {MULTI['name_max_df']}", "('current', 12, 2)": f"('current', {MULTI['name_max_df']}, {MULTI['max_tokens']})",
+    "p.n <= 5": f"p.n <= {_BY_FAMILY}", "QUALIFY blocker_rank <= 5": f"QUALIFY blocker_rank <= {MULTI['top_k']}",
+}
 #: Their SQL names no cap, their result must hold under any.
-ANY_CAP = {"v4_candidate_violations", "p13_v2_partition_violations"}
+ANY_CAP = {"v4_candidate_violations", "p13_v2_partition_violations", "v3_multikey_violations", "a31_translit_diagnostics"}
 
 
 def production_sql(sql: str) -> str:
@@ -34,8 +44,8 @@ def production_sql(sql: str) -> str:
 def register() -> None:
     for name, f in list(QUERIES.items()):
         takes = set(inspect.signature(f).parameters) & {"exact", "multi"}
-        if takes == {"exact"} and (name in ANY_CAP or production_sql(SQL[name]) != SQL[name]):
-            QUERIES[f"{name}_production"] = functools.partial(f, **{k: DEFAULTS["exact" if k == "exact" else "multikey"] for k in takes})
+        if takes and (name in ANY_CAP or production_sql(SQL[name]) != SQL[name]):
+            QUERIES[f"{name}_production"] = functools.partial(f, **{k: EXACT if k == "exact" else MULTI for k in takes})
             SQL[f"{name}_production"] = production_sql(SQL[name])
 
 

@@ -37,3 +37,8 @@ def test_exact_finds_every_true_pair(spark):
     assert r.pairs > 0 and r.any_hit == r.pairs
     r = Q.QUERIES["a22_exact_recall"](spark, D).where("country IS NULL").first()
     assert r.any_hit < r.pairs
+
+
+def test_multikey_ranks_past_the_smoke_cut(spark):
+    most = lambda name: Q.QUERIES[name](spark, D).agg({"blocker_rank": "max"}).first()[0]
+    assert most("w4_multikey_candidates") <= 5 < most("w4_multikey_candidates_production")
