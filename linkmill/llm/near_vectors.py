@@ -4,9 +4,9 @@ Equal vectors are one class first, so copies cost nothing further. Each table ro
 of random signs and a fast Hadamard transform, and its bucket is the nearest signed axis of each of `places` such
 rotations; the number of places follows the logarithm of the number of classes, so buckets stay small. A class also visits the PROBES
 buckets that come next. Pairs that meet in a bucket are verified in double precision, in blocks of at most BLOCK classes:
-a larger bucket is cut into blocks that meet two by two, so none is capped. A pair that meets in several buckets counts in
-the first one only, which its two signatures tell. A task puts out, per class, its number of links and the centre of the
-group that they connect, never the pairs.
+a larger bucket is cut into blocks that meet two by two, so none is capped. A pair meets in each bucket that both visit, be it
+by a probe of both, and counts in the first one only, which its two signatures tell. A task puts out, per class, its number of
+links and the centre of the group that they connect, never the pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing, copies
 included; vectors of different length don't link; repeated rows are copies of each other; a null id names no component
@@ -128,14 +128,12 @@ def links_in(bucket: int, place: int, ids: np.ndarray, copies: np.ndarray, unit:
         i, j = i[keep], j[keep]
         for k in range(0, len(i), PAIRS // 8):
             x, y = i[k : k + PAIRS // 8], j[k : k + PAIRS // 8]
-            px, py = sig[x, :, 0], sig[y, :, 0]
-            x_visits = (px[:, :, None] == sig[y][:, :, :]).any(2)  # y is in x's own bucket
-            y_visits = (py[:, :, None] == sig[x][:, :, :]).any(2)
-            first = (x_visits | y_visits).argmax(1)
+            mine, theirs = sig[x], sig[y]
+            common = (mine[:, :, :, None] == theirs[:, :, None, :]).any(3)  # visited by both, own or probed
+            first = common.any(2).argmax(1)
             rows = np.arange(len(x))
-            at_x = np.where(x_visits[rows, first], px[rows, first], np.iinfo(np.int64).max)
-            at_y = np.where(y_visits[rows, first], py[rows, first], np.iinfo(np.int64).max)
-            here = (x_visits | y_visits)[rows, first] & (first == place) & (np.minimum(at_x, at_y) == bucket)
+            least_code = np.where(common[rows, first], mine[rows, first], np.iinfo(np.int64).max).min(1)
+            here = common[rows, first].any(1) & (first == place) & (least_code == bucket)
             x, y = x[here], y[here]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])

@@ -219,6 +219,24 @@ def test_near_vectors(spark, monkeypatch):
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_meet_by_probes():
+    # two equal directions whose own buckets differ and that both probe bucket 5: once in it, nowhere else
+    sig = np.array([[[1, 5], [8, 9]], [[2, 5], [8, 9]]], np.int64)
+    ids, copies, unit = np.array([10, 20]), np.array([1, 3]), np.array([[1.0, 0.0], [1.0, 0.0]])
+    counted = {b: near_vectors.links_in(b, t, ids, copies, unit, sig, None, 0.95)[0].tolist() for t, b in ((0, 5), (1, 8), (1, 9))}
+    assert counted == {5: [3, 1], 8: [0, 0], 9: [0, 0]}
+    # each pair with a common bucket is counted in one of them
+    rng = np.random.default_rng(6)
+    n, tables = 60, 3
+    sig = np.stack([rng.permuted(np.tile(np.arange(12), (n, 1)), axis=1)[:, :3] * tables + t for t in range(tables)], 1)
+    total = np.zeros(n, np.int64)
+    for b in np.unique(sig):
+        some = np.flatnonzero((sig == b).any((1, 2)))
+        total[some] += near_vectors.links_in(b, int(b % tables), some, np.ones(len(some), np.int64), np.tile([[1.0, 0.0]], (len(some), 1)), sig[some], None, 0.95)[0]
+    meet = (sig[:, None, :, :, None] == sig[None, :, :, None, :]).any((2, 3, 4))
+    assert total.tolist() == (meet.sum(1) - 1).tolist()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 90), (90, 95), (200, 200), (None, 3)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(7)
