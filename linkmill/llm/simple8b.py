@@ -187,7 +187,7 @@ class BlockEncoder:
     Texts are cut as in pieces.py and their pieces told apart by Arrow. Those that begin with a space are joined as they are,
     those with no white space by line feeds; the pre-tokenizer splits at each of these joints. Tokens are dealt to pieces
     where the bytes of a piece end; the library gives a byte one character. A run whose tokens don't end there is encoded
-    piece by piece, and texts with other white space text by text.
+    piece by piece, and texts with other white space or an added token such as <|endoftext|> text by text.
     """
 
     def __init__(self, path: str):
@@ -195,8 +195,8 @@ class BlockEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
 
     def _ids(self, text: str) -> np.ndarray:
@@ -205,7 +205,7 @@ class BlockEncoder:
     def texts(self, texts: list[str]):
         """Yields the ids of each text, whole, in order."""
         for a, b in runs(texts, JOINED_CHARS):
-            odd = [irregular(t) for t in texts[a:b]]
+            odd = [irregular(t) or any(x in t for x in self.added) for t in texts[a:b]]
             regular = self._regular([t for t, o in zip(texts[a:b], odd, strict=True) if not o])
             for t, o in zip(texts[a:b], odd, strict=True):
                 yield self._ids(t) if o else next(regular)

@@ -101,6 +101,17 @@ def test_simple8b(spark, docs):
     assert simple8b.read_token_files(empty, uri + "-empty").count() == 0
 
 
+def test_added_tokens():
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    plain, encoder = Tokenizer.from_file(path), simple8b.BlockEncoder(path)
+    odd = ["def <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>b\n\n", "cut <|endof", "text|> cut", "plain words", "", "x\ty <|endoftext|>\r\n"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in odd]
+    assert any(len(w) == 1 for w in want)
+    assert [x.tolist() for x in encoder.texts(odd)] == want
+
+
 def test_language(spark):
     en, fr = "the quick brown fox jumps over the lazy dog and runs", "le renard brun saute par dessus le chien paresseux et court"
     rows = [(i, (en if i % 2 else fr) + f" {i}", "en" if i % 2 else "fr", "s", 0) for i in range(60)] + [(60, None, None, None, 0), (61, "123 .", "en", None, 0), (None, en, None, None, 0)]
