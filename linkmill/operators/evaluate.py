@@ -95,3 +95,8 @@ def histogram_quantile(df: DataFrame, column: str, p: float, *by: str) -> DataFr
     w = Window.partitionBy(*by)
     run = h.withColumn("upto", F.sum("c").over(w.orderBy(column).rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("c").over(w))
     return run.where(F.col("upto") >= F.floor((F.col("n") - 1) * p) + 1).groupBy(*by).agg(F.min(column).alias("value"))
+
+
+def approx_quantile(df: DataFrame, column: str, p: float, *by: str, accuracy: int = 10_000) -> DataFrame:
+    """A value whose rank is off by at most 1 / accuracy of the rows from that of the quantile."""
+    return df.groupBy(*by).agg(F.percentile_approx(column, p, accuracy).alias("value"))

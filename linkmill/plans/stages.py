@@ -56,13 +56,17 @@ def retrieve_exact(spark: SparkSession, out: str, split: str = "train", config:
     s1, t = _sides(spark, out, split, **filters)
     sinks.write_candidates(blocking.exact_candidates(s1, t, config["exact"]), f"{out}/exact-{split}")
     found = spark.read.parquet(f"{out}/exact-{split}")
-    return {"suppression": _rows(blocking.suppression(s1, t, config["exact"])), "volume": _rows(evaluate.volume(t, found))}
+    stats = {"suppression": _rows(blocking.suppression(s1, t, config["exact"])), "volume": _rows(evaluate.volume(t, found))}
+    sinks.write_json(f"{out}/exact-{split}.stats.json", stats)
+    return stats
 
 
 def retrieve_multikey(spark: SparkSession, out: str, split: str = "train", config: dict = DEFAULTS, **filters) -> dict:
     s1, t = _sides(spark, out, split, **filters)
     sinks.write_candidates(blocking.multikey_candidates(s1, t, config["multikey"]), f"{out}/multikey-{split}")
-    return {"volume": _rows(evaluate.volume(t, spark.read.parquet(f"{out}/multikey-{split}")))}
+    stats = {"volume": _rows(evaluate.volume(t, spark.read.parquet(f"{out}/multikey-{split}")))}
+    sinks.write_json(f"{out}/multikey-{split}.stats.json", stats)
+    return stats
 
 
 def audit_union(spark: SparkSession, root: str, out: str) -> dict:
