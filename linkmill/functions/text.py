@@ -1,4 +1,4 @@
-"""Text functions: one Arrow UDF per text column for what needs Python's Unicode tables, column expressions for the rest."""
+"""Text functions: column expressions, and one Arrow UDF per text column for the texts that need Python's Unicode tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,35 +44,71 @@ def strip_suffixes(tokens: list[str], suffixes: frozenset[str]) -> list[str]:
     return out
 
 
-def text_views(raw: str | None, suffixes: frozenset[str] = frozenset()) -> dict:
-    """nfkc, casefold, accent, tokens, core and transliterated tokens of one text; a null is an empty one."""
-    composed = nfkc(raw or "")
-    folded = composed.casefold()
-    accent = accent_fold(folded)
-    tokens = tokenize(accent)
-    latin = tokens if folded.isascii() else tokenize(accent_fold(romanize(unicodedata.normalize("NFC", folded)).casefold()))
-    return {"nfkc": composed, "casefold": folded, "accent": accent, "tokens": tokens, "core": strip_suffixes(tokens, suffixes), "translit": latin}
+FIELDS = ("nfkc", "casefold", "accent", "tokens", "translit")
 
 
-VIEWS = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("nfkc", "casefold", "accent")] + [T.StructField(n, T.ArrayType(T.StringType())) for n in ("tokens", "core", "translit")]
-)
+def text_views(raw: str | None, need: tuple[str, ...] = FIELDS) -> dict:
+    """The views of one text by Python's Unicode tables; a null is an empty one."""
+    composed = nfkc(raw or "")
+    folded = composed.casefold()
+    out = {"nfkc": composed, "casefold": folded}
+    if "accent" in need or "tokens" in need:
+        out["accent"] = accent_fold(folded)
+        out["tokens"] = tokenize(out["accent"])
+    if "translit" in need:
+        out["translit"] = tokenize(accent_fold(romanize(unicodedata.normalize("NFC", folded)).casefold()))
+    return {k: out[k] for k in need}
 
 
-def views_udf(suffixes=()):
-    """A column function: struct of text_views for each text."""
-    words = frozenset(suffixes)
+def _views_udf(need: tuple[str, ...]):
+    """Struct of the views of each text; a null gives nulls."""
 
-    @F.pandas_udf(VIEWS)
+    @F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if n in ("tokens", "translit") else T.StringType()) for n in need]))
     def views(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_views(t, words) for t in texts], columns=VIEWS.names)
+        none = dict.fromkeys(need)
+        return pd.DataFrame([none if t is None else text_views(t, need) for t in texts], columns=list(need))
 
     return views
 
 
+def with_views(df: DataFrame, column: str, prefix: str, need: tuple[str, ...] = FIELDS, suffixes=()) -> DataFrame:
+    """df with a column prefix + view for each needed view of a text column, and prefix + core where tokens are asked for.
+
+    ASCII texts stay in the JVM, where lower case and a regular expression say the same; only the others' text goes through
+    Python, once for all views.
+    """
+    x = F.coalesce(F.col(column), F.lit(""))
+    odd = F.octet_length(x) != F.length(x)
+    low = F.lower(x)
+    runs = F.regexp_extract_all(low, F.lit("[a-z0-9]+"), 0)
+    plain = {"nfkc": x, "casefold": low, "accent": low, "tokens": runs, "translit": runs}
+    told = f"{prefix}_told"
+    out = df.withColumn(told, _views_udf(tuple(need))(F.when(odd, x)))
+    out = out.withColumns({f"{prefix}{n}": F.when(odd, F.col(told)[n]).otherwise(plain[n]) for n in need}).drop(told)
+    return out.withColumn(f"{prefix}core", strip_legal(F.col(f"{prefix}tokens"), suffixes)) if "tokens" in need else out
+
+
 # ---- column expressions
 
 
+def strip_legal(tokens: Column, suffixes=()) -> Column:
+    """strip_suffixes as an expression: each step over the tokens removes one legal word or abbreviation while there is one."""
+    words = list(suffixes)
+    if not words:
+        return tokens
+
+    def step(held: Column, _: Column) -> Column:
+        n = F.size(held)
+        out = F.when((n > 1) & F.element_at(held, -1).isin(words), F.slice(held, F.lit(1), n - 1))
+        for width in (2, 3, 4):
+            tail = F.slice(held, F.lit(-width), F.lit(width))
+            spelt = (n > width) & F.forall(tail, lambda t: F.length(t) == 1) & F.array_join(tail, "").isin(words)
+            out = out.when(spelt, F.slice(held, F.lit(1), n - width))
+        return out.otherwise(held)
+
+    return F.aggregate(tokens, tokens, step)
+
+
 def joined(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 
@@ -131,3 +167,14 @@ def target_source(entity_id: Column) -> Column:
 
 def ratio(part: Column, whole: Column, empty: float | None = None) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(empty))
+
+
+def split_list(x: Column, mark: str = ",") -> Column:
+    """Parts between marks, empty ones included."""
+    return F.split(x, rf"\Q{mark}\E", -1)
+
+
+def joint_key(*parts: Column) -> Column:
+    """Parts with the unit separator between them; a null part is written <NULL>, an empty one <EMPTY>."""
+    shown = [F.coalesce(F.nullif(F.coalesce(p, F.lit("<NULL>")), F.lit("")), F.lit("<EMPTY>")) for p in parts]
+    return F.concat(*[c for i, p in enumerate(shown) for c in ((F.lit("\x1f"), p) if i else (p,))])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkmill.functions import text as X
@@ -82,7 +82,7 @@ def ownership(pairs: DataFrame) -> DataFrame:
 
 def cardinality(pairs: DataFrame, s1: DataFrame) -> DataFrame:
     """Matches of each S1 record, overall (null country) and by country; records without one count as 0."""
-    n = pairs.groupBy(F.col("s1").alias("entity_id")).agg(F.count_distinct("target").alias("n"))
+    n = pairs.where("source <> 'INVALID'").groupBy(F.col("s1").alias("entity_id")).agg(F.count_distinct("target").alias("n"))
     rows = s1.select("entity_id", "country").join(n, "entity_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     bins = [F.count_if(F.col("n") == k).alias(f"bin_{k}") for k in range(5)] + [F.count_if(F.col("n") >= 5).alias("bin_5_up")]
     disc = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY n)").cast("long").alias(f"p{k}") for k, p in (("90", 0.9), ("95", 0.95), ("99", 0.99))]
@@ -92,8 +92,7 @@ def cardinality(pairs: DataFrame, s1: DataFrame) -> DataFrame:
 
 
 def distractors(pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    matched = pairs.select("source", F.col("target").alias("entity_id")).distinct().withColumn("hit", F.lit(True))
-    rows = targets.join(matched, ["source", "entity_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    rows = matched_flags(pairs, targets).withColumnRenamed("matched", "hit")
     return rows.groupingSets([["source"], ["source", "country"]], "source", "country").agg(
         F.count_if("hit").alias("matched"), F.count_if(~F.col("hit")).alias("unmatched"), F.count("*").alias("total"), F.round(X.ratio(F.count_if(~F.col("hit")), F.count("*"), 0.0), 6).alias("unmatched_fraction")
     )
@@ -121,5 +120,56 @@ def invariants(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame
     return o.crossJoin(m)  # a row each
 
 
-def nulls_as_text(c: Column) -> Column:
-    return F.coalesce(c, F.lit(""))
+def group_counts(df: DataFrame, by: str, distinct: str) -> DataFrame:
+    """Rows and distinct values of each group, the largest first."""
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.count_distinct(distinct).alias("n_distinct")).orderBy(F.desc("n"), by)
+
+
+def shares(df: DataFrame, by: str) -> DataFrame:
+    """Rows of each group and their share of all."""
+    whole = df.agg(F.count("*").alias("whole"))  # one row
+    return df.groupBy(by).agg(F.count("*").alias("n")).crossJoin(F.broadcast(whole)).select(by, "n", F.round(X.ratio(F.col("n"), F.col("whole")), 6).alias("share"))
+
+
+def distinct_tuples(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct tuples, those with nulls included."""
+    return df.agg(F.count_distinct(F.struct(*columns)).alias("n_tuples"))
+
+
+def differing(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rows whose columns differ with null as a value, and rows where both are known and differ."""
+    return df.agg(F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias("differs"), F.count_if(F.col(a) != F.col(b)).alias("differs_known"))
+
+
+def text_counts(df: DataFrame, text: str, by: str, long: int = 500) -> DataFrame:
+    """Per group: null, long and blank texts, whether any is null and whether all have characters."""
+    t = F.col(text)
+    return df.groupBy(by).agg(
+        F.count_if(t.isNull()).alias("null_texts"), F.count_if(F.length(t) > long).alias("long_texts"), F.bool_or(t.isNull()).alias("any_null"), F.bool_and(F.coalesce(F.length(t), F.lit(0)) > 0).alias("all_filled")
+    )
+
+
+def matched_flags(pairs: DataFrame, targets: DataFrame) -> DataFrame:
+    """(entity_id, source, country, matched) of each target."""
+    hit = pairs.select("source", F.col("target").alias("entity_id")).distinct().withColumn("matched", F.lit(True))
+    return targets.join(hit, ["source", "entity_id"], "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
+
+
+def unique_pairs(pairs: DataFrame) -> DataFrame:
+    """One row of each (s1, target)."""
+    return pairs.dropDuplicates(["s1", "target"])
+
+
+def target_lists(pairs: DataFrame) -> DataFrame:
+    """(s1, targets): distinct targets in order, joined by commas; an S1 record's own matches are few."""
+    return pairs.groupBy("s1").agg(F.array_join(F.array_sort(F.collect_set("target")), ",").alias("targets"))
+
+
+def matches_by_country(pairs: DataFrame, s1: DataFrame) -> DataFrame:
+    own = s1.select(F.col("entity_id").alias("s1"), "country")
+    return pairs.join(own, "s1").groupBy("country").agg(F.count("*").alias("pairs"), F.count_distinct("s1").alias("entities"))
+
+
+def only_in(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
+    """Distinct values that a has and b hasn't."""
+    return a.select(column).subtract(b.select(column))

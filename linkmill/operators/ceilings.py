@@ -45,21 +45,8 @@ def _rules(config: dict) -> Column:
     return F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(n).alias("name_df"), F.lit(a).alias("address_df"), F.lit(m).alias("most")) for r, n, a, m in rows])
 
 
-def eligible() -> Column:
-    """Whether a record's transliteration says more than its name."""
-    return F.coalesce(F.col("name_raw"), F.lit("")).rlike(r"[^\x00-\x7F]") | (F.col("name_transliterated") != F.col("name_tokens"))
-
-
-def _long_tokens(text: Column, least: int) -> Column:
-    return F.array_distinct(F.filter(F.split(F.trim(text), " "), lambda t: F.length(t) >= least))
-
-
-def view_tokens(records: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
-    """(country, entity_id, eligible, view, token): distinct tokens, transliterated ones of all records."""
-    name = F.when(F.col("name_core") != "", F.col("name_core")).otherwise(F.col("name_tokens"))
-    views = {"name": (name, config["min_name_token"]), "address": (F.col("address_normalized"), config["min_address_token"]), "translit": (F.col("name_transliterated"), config["min_name_token"])}
-    tokens = {v: _long_tokens(c, n) for v, (c, n) in views.items()}
-    return records.select("country", "entity_id", eligible().alias("eligible"), F.inline(blocking._tagged("view", "token", tokens)))
+def view_tokens(records: DataFrame, config: dict) -> DataFrame:
+    return blocking.view_tokens(blocking.record_tokens(records, config), "entity_id", "eligible")
 
 
 def rule_tokens(records: DataFrame, frequencies: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
@@ -77,7 +64,7 @@ def rule_tokens(records: DataFrame, frequencies: DataFrame, config: dict = DEFAU
 
 
 def _frequencies(reference: DataFrame, config: dict) -> DataFrame:
-    return view_tokens(reference, config).groupBy("country", "view", "token").agg(F.count("*").alias("df"))
+    return blocking.token_frequencies(blocking.record_tokens(reference, config))
 
 
 def key_ceiling_pairs(reference: DataFrame, targets: DataFrame, truth: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
@@ -111,7 +98,7 @@ def translit_diagnostics(reference: DataFrame, targets: DataFrame, truth: DataFr
     crossed = current.join(names, ["country", "s1"]).join(spelt, ["country", "target", "token"]).select(*PAIR, "translit_hit").distinct()
     stored = candidates.where("block_translit_name_hit OR block_translit_name_number_hit").select("country", F.col("target_entity_id").alias("entity_id"))
     parts = {
-        "targets_eligible": targets.where(eligible()).agg(F.count("*")),
+        "targets_eligible": targets.where(blocking.eligible()).agg(F.count("*")),
         "targets_with_translit_keys": keyed.agg(F.count_distinct(F.struct("country", "entity_id"))),
         "stored_targets": stored.join(targets, ["country", "entity_id"], "left_semi").agg(F.count_distinct(F.struct("country", "entity_id"))),
         "pairs_sharing": current.agg(F.count_if("translit_hit")),

@@ -17,12 +17,20 @@ def fbeta(tp: Column, predicted: Column, truth: Column, beta: float = 0.5) -> Co
 
 
 def macro_fbeta(universe: DataFrame, truth: DataFrame, predicted: DataFrame, beta: float = 0.5) -> DataFrame:
-    """One row: mean over universe (entity_id) of each entity's F-beta; truth and predicted are pairs (s1, target)."""
+    """One row: mean over universe (entity_id) of each entity's F-beta; truth and predicted are pairs (s1, target).
+
+    `problems` counts what makes the mean void: repeated ids of the universe, and S1 ids of the pairs that it lacks; an empty
+    universe has a null mean.
+    """
+    ids = universe.select(F.col("entity_id").alias("s1"))
+    unknown = truth.select("s1").unionByName(predicted.select("s1")).distinct().join(ids, "s1", "left_anti").agg(F.count("*").alias("unknown"))
+    repeated = ids.agg((F.count("*") - F.count_distinct("s1")).alias("repeated"))
     t, p = truth.select("s1", "target").distinct(), predicted.select("s1", "target").distinct()
     rows = t.withColumn("t", F.lit(1)).join(p.withColumn("p", F.lit(1)), ["s1", "target"], "full").groupBy("s1").agg(F.count("t").alias("nt"), F.count("p").alias("np"), F.count(F.expr("t + p")).alias("tp"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     out = universe.select(F.col("entity_id").alias("s1")).join(rows, "s1", "left").select(fbeta(zero(F.col("tp")), zero(F.col("np")), zero(F.col("nt")), beta).alias("f"))
-    return out.agg(F.count("*").alias("entities"), F.round(F.avg("f"), 6).alias("macro_f"))
+    mean = out.agg(F.count("*").alias("entities"), F.round(F.avg("f"), 6).alias("macro_f"))
+    return mean.crossJoin(unknown.crossJoin(repeated).select((F.col("unknown") + F.col("repeated")).alias("problems")))  # a row each
 
 
 def exact_recall(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -32,15 +40,14 @@ def exact_recall(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     rows = pairs.dropDuplicates(["s1", "target"]).join(c, ["target", "s1", "source", "country"], "left")
     counts = rows.groupingSets([[], ["country", "source"]], "country", "source").agg(
         F.count("*").alias("pairs"), F.count_if(hit("exact_hit")).alias("exact"), F.count_if(hit("structured_hit")).alias("structured"), F.count_if(hit("exact_hit") | hit("structured_hit")).alias("any_hit"),
-        F.count_if(hit("exact_hit") & ~hit("structured_hit")).alias("only_exact"),
+        F.count_if(hit("exact_hit") & ~hit("structured_hit")).alias("only_exact"), F.count_if(hit("structured_hit") & ~hit("exact_hit")).alias("only_structured"),
     )
     return counts.withColumn("recall", F.round(X.ratio(F.col("any_hit"), F.col("pairs"), 0.0), 6))
 
 
 def volume(targets: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidates per target, those without one included."""
-    n = candidates.groupBy(F.col("target_entity_id").alias("entity_id")).agg(F.count("*").alias("n"))
-    rows = targets.select("entity_id").join(n, "entity_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rows = target_volumes(targets, candidates)
     cont = [F.round(F.expr(f"percentile(n, {p})"), 6).alias(f"p{k}") for k, p in (("50", 0.5), ("90", 0.9), ("95", 0.95), ("99", 0.99))]
     bins = {"bin_0": F.col("n") == 0, "bin_1": F.col("n") == 1, "bin_2_5": F.col("n").between(2, 5), "bin_6_10": F.col("n").between(6, 10), "bin_over_10": F.col("n") > 10}
     return rows.agg(F.count("*").alias("targets"), F.round(F.avg("n"), 6).alias("mean"), *cont, F.max("n").alias("most"), *[F.count_if(v).alias(k) for k, v in bins.items()])
@@ -100,3 +107,33 @@ def histogram_quantile(df: DataFrame, column: str, p: float, *by: str) -> DataFr
 def approx_quantile(df: DataFrame, column: str, p: float, *by: str, accuracy: int = 10_000) -> DataFrame:
     """A value whose rank is off by at most 1 / accuracy of the rows from that of the quantile."""
     return df.groupBy(*by).agg(F.percentile_approx(column, p, accuracy).alias("value"))
+
+
+def quantiles(df: DataFrame, column: str, p: float, *by: str) -> DataFrame:
+    """Interpolated quantile and median."""
+    return df.groupBy(*by).agg(F.round(F.percentile(column, F.lit(p)), 6).alias("quantile"), F.round(F.median(column), 6).alias("middle"))
+
+
+def match_histogram(pairs: DataFrame) -> DataFrame:
+    """(n, entities): how many S1 records have so many distinct targets."""
+    return pairs.groupBy("s1").agg(F.count_distinct("target").alias("n")).groupBy("n").agg(F.count("*").alias("entities"))
+
+
+def in_truth(candidates: DataFrame, truth: DataFrame) -> DataFrame:
+    """(target_entity_id, candidate_s1_entity_id, is_true)"""
+    key = ["target_entity_id", "candidate_s1_entity_id"]
+    t = truth.select(F.col("target").alias(key[0]), F.col("s1").alias(key[1])).distinct().withColumn("hit", F.lit(True))
+    return candidates.select(*key).join(t, key, "left").select(*key, F.col("hit").isNotNull().alias("is_true"))
+
+
+def target_volumes(targets: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(entity_id, n): candidates of each target, 0 included."""
+    n = candidates.groupBy(F.col("target_entity_id").alias("entity_id")).agg(F.count("*").alias("n"))
+    return targets.select("entity_id").join(n, "entity_id", "left").fillna(0, ["n"])
+
+
+def evidence(candidates: DataFrame) -> DataFrame:
+    """Per pair of a target and a candidate: the retrievers' evidence folded, from rare-token hits."""
+    return candidates.groupBy("target_entity_id").agg(
+        F.count("*").alias("candidates"), F.sum("blocker_signal_count").alias("keys"), F.min("blocker_min_key_df").alias("least_df"), F.round(F.sum("sum_idf"), 5).alias("sum_idf")
+    )

@@ -17,17 +17,16 @@ COLUMNS = (
 
 def normalize(records: DataFrame, config: dict = DEFAULTS["normalization"]) -> DataFrame:
     """(entity_id, business_name, business_address, country, ...) to the 23 COLUMNS; further columns stay in front."""
-    views, plain = X.views_udf(config["legal_suffixes"]), X.views_udf()
-    n, a = F.col("_n"), F.col("_a")
-    nums = X.numbers(X.joined(a["tokens"]))
+    held = X.with_views(X.with_views(records, "business_name", "_n_", suffixes=config["legal_suffixes"]), "business_address", "_a_", need=("nfkc", "casefold", "accent", "tokens"))
+    held = held.withColumn("_nums", X.numbers(X.joined(F.col("_a_tokens"))))
     extra = [c for c in records.columns if c not in ("entity_id", "country", "business_name", "business_address")]
-    return records.withColumn("_n", views("business_name")).withColumn("_a", plain("business_address")).withColumn("_nums", nums).select(
+    return held.select(
         *extra, "entity_id", "country",
-        F.col("business_name").alias("name_raw"), n["nfkc"].alias("name_nfkc"), n["casefold"].alias("name_casefold"), n["accent"].alias("name_accent_fold"),
-        X.compact(n["tokens"]).alias("name_compact"), X.joined(n["tokens"]).alias("name_tokens"), X.token_sorted(n["tokens"]).alias("name_token_sorted"),
-        X.joined(n["core"]).alias("name_core"), X.joined(n["translit"]).alias("name_transliterated"),
-        F.col("business_address").alias("address_raw"), a["nfkc"].alias("address_nfkc"), a["casefold"].alias("address_casefold"), a["accent"].alias("address_accent_fold"),
-        X.joined(a["tokens"]).alias("address_normalized"), X.compact(a["tokens"]).alias("address_compact"), X.token_sorted(a["tokens"]).alias("address_token_sorted"),
+        F.col("business_name").alias("name_raw"), F.col("_n_nfkc").alias("name_nfkc"), F.col("_n_casefold").alias("name_casefold"), F.col("_n_accent").alias("name_accent_fold"),
+        X.compact(F.col("_n_tokens")).alias("name_compact"), X.joined(F.col("_n_tokens")).alias("name_tokens"), X.token_sorted(F.col("_n_tokens")).alias("name_token_sorted"),
+        X.joined(F.col("_n_core")).alias("name_core"), X.joined(F.col("_n_translit")).alias("name_transliterated"),
+        F.col("business_address").alias("address_raw"), F.col("_a_nfkc").alias("address_nfkc"), F.col("_a_casefold").alias("address_casefold"), F.col("_a_accent").alias("address_accent_fold"),
+        X.joined(F.col("_a_tokens")).alias("address_normalized"), X.compact(F.col("_a_tokens")).alias("address_compact"), X.token_sorted(F.col("_a_tokens")).alias("address_token_sorted"),
         F.array_join("_nums", "|").alias("numeric_tokens"), F.try_element_at("_nums", F.lit(1)).alias("primary_number"),
         F.array_join(X.postal_like(F.col("_nums"), config["postal_min_length"], config["postal_max_length"]), "|").alias("postal_like_tokens"),
         X.missing(F.col("business_name")).alias("name_missing"), X.missing(F.col("business_address")).alias("address_missing"),
@@ -43,7 +42,7 @@ def profile(normalized: DataFrame, *by: str) -> DataFrame:
         F.count_if(c("name_transliterated") != c("name_tokens")).alias("transliterated"),
         F.count_if(c("name_core") != c("name_tokens")).alias("cores_changed"),
         F.round(F.avg(F.length("name_tokens")), 6).alias("avg_name_length"), F.max(F.length("name_tokens")).cast("long").alias("max_name_length"),
-        F.round(F.avg(F.length("address_normalized")), 6).alias("avg_address_length"),
+        F.round(F.avg(F.length("address_normalized")), 6).alias("avg_address_length"), F.max(F.length("address_normalized")).cast("long").alias("max_address_length"),
     )
 
 

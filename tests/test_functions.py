@@ -10,18 +10,30 @@ from linkmill.sources import readers, sinks
 S = frozenset(config.LEGAL_SUFFIXES)
 
 
-def test_names():
-    v = X.text_views("Ｓｏｃｉéｔé Générale S.A.", S)
-    assert v["nfkc"].startswith("Société") and v["tokens"] == ["societe", "generale", "s", "a"] and v["core"] == ["societe", "generale"]
-    for raw, core in (("Royal Coffee Company", "royal coffee"), ("Salt", "salt"), ("Company Road", "company road"), ("The Coffee-Shop Pvt. Ltd.", "the coffee shop")):
-        assert " ".join(X.text_views(raw, S)["core"]) == core
-    assert X.text_views(None, S)["tokens"] == []
+def test_names(spark):
+    v = X.text_views("Ｂä\u0308ｃｋerei  Öztürk_Straße")
+    assert v["nfkc"].startswith("Bä") and v["casefold"].endswith("strasse") and v["tokens"] == ["backerei", "ozturk", "strasse"]
+    assert X.text_views(None)["tokens"] == []
+    core = {
+        "Northwind Tea Company": "northwind tea", "Pepper": "pepper", "Company Lane": "company lane", "Lamp-Works Pvt. Ltd.": "lamp works", "Ltd": "ltd", "S.A.S.U.": "s a s u", "Lumière S A S U": "lumiere",
+        "Tor E.U.R.L. Co": "tor", "Grün GmbH": "grun gmbh", "Ältere Sci": "altere", "a b s a": "a b", "": "", "_ -": "",
+    }
+    names = [*core, "plain words 12", "Кафе ooo", None]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    for r in X.with_views(df, "name", "_", suffixes=config.LEGAL_SUFFIXES).collect():
+        want = X.text_views(r.name)
+        assert {k: r[f"_{k}"] for k in X.FIELDS} == want
+        assert r._core == X.strip_suffixes(want["tokens"], S)
+        assert r.name not in core or " ".join(r._core) == core[r.name]
 
 
 def test_romanize():
-    assert X.text_views("Кафе")["translit"] == ["kafe"]
+    shown = {"Кафе": "kafe", "Αθήνα": "athena", "すし": "sushi", "カメラ": "kamera", "서울": "seoul", "שלום": "shlvm", "سلام": "slam", "Łódź Ørsted": "lodz orsted", "漢字": "漢字"}
+    for raw, latin in shown.items():
+        assert " ".join(X.text_views(raw)["translit"]) == latin
     hindi = X.text_views("मॉडर्न फाइनेंस")
-    assert hindi["translit"] and hindi["tokens"] == ["म", "डरन", "फ", "इन", "स"] and "".join(hindi["translit"]).isascii()
+    assert hindi["tokens"] == ["म", "डरन", "फ", "इन", "स"] and "".join(hindi["translit"]).isascii() and hindi["translit"] == X.text_views("मॉडर्न फाइनेंस")["translit"]
+    assert X.text_views("ไทย")["translit"][0].isascii()
 
 
 def test_config(tmp_path):
@@ -60,8 +72,24 @@ def test_fbeta(spark, truth, pred, want):
 def test_violations(spark):
     rows = [("S2-a", "S1-a", "S2", "US", 1, 1), ("S2-b", "S1-b", "S2", "US", 70000, -1), ("S2-c", "", "X", "US", 1, 1), ("S2-d", "S1-d", "S2", "US", 1, 1), ("S2-d", "S1-d", "S2", "India", 1, 1)]
     df = spark.createDataFrame(rows, "target_entity_id string, candidate_s1_entity_id string, target_source string, country string, retriever_mask long, retriever_count long")
-    got = sorted((r.target_entity_id, r.rule) for r in validate.candidate_violations(df).collect())
-    assert got == [("S2-b", "count_range"), ("S2-b", "mask_range"), ("S2-c", "candidate_s1_entity_id_missing"), ("S2-c", "unknown_source"), ("S2-d", "conflicting_country"), ("S2-d", "conflicting_country")]
+    got = sorted((r.target_entity_id, r.rule, r.n_rows) for r in validate.candidate_violations(df).collect())
+    assert got == [("S2-b", "retriever_count_range", 1), ("S2-b", "retriever_mask_range", 1), ("S2-c", "unknown_source", 1), ("S2-d", "conflicting_country", 1)]
+    odd = spark.createDataFrame([("S2-a", None, "S2", "US", None, "x", False, 0.5, 0), ("S2-a", 1.5, "S2", " ", None, None, None, None, 2), ("S2-b", 2.5, "S2", "US", 2, "y", True, 1.0, 1)], "target_entity_id string, candidate_s1_entity_id double, target_source string, country string, blocker_rank long, exact_hit string, dense_present boolean, dense_score double, dense_rank long")
+    got = sorted((r.target_entity_id, r.rule, r.n_rows) for r in validate.candidate_violations(odd).collect())
+    assert got == [
+        ("S2-a", "blocker_rank_range", 1), ("S2-a", "candidate_s1_entity_id_type", 1), ("S2-a", "country_empty", 1), ("S2-a", "dense_evidence_not_present", 1), ("S2-a", "missing_fields", 1),
+        ("S2-b", "candidate_s1_entity_id_type", 1), ("S2-b", "exact_hit_type", 1),
+    ]
+    assert validate.candidate_violations(df.limit(0)).count() == 0
+
+
+def test_inventory(spark):
+    rows = [("train", "source1", "US", "a"), ("train", "source1", "US", "b"), ("train", "source1", "India", "a"), ("test", "source1", "US", "a")]
+    df = spark.createDataFrame(rows, "split string, source string, country string, entity_id string")
+    got = {(r.split, r.country): (r.n_rows, r.repeated_ids, r.ok) for r in validate.inventory(df, {"train": {"source1": {"US": 2, "India": 1}}, "test": {"source1": {"US": 2, "France": 1}}}).collect()}
+    assert got == {("train", "US"): (2, 1, False), ("train", "India"): (1, 1, False), ("test", "US"): (1, 0, False), ("test", "France"): (0, 0, False)}
+    assert validate.inventory(df).where("ok").count() == 1
+    assert {(r.country, r.side) for r in validate.shard_differences(df, df.where("country <> 'India'")).collect()} == {("India", "missing")}
 
 
 def test_manifest(tmp_path):
