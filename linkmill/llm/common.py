@@ -1,19 +1,16 @@
-"""Helpers shared by the training-data operators: work folders, written tables, size-checked joins."""
+"""Helpers shared by the training-data operators: the word and line rules, Arrow batches, worker memory; written tables and size-checked joins come from linkmill.tables."""
 
 from __future__ import annotations
 
 import ctypes
 import gc
-import os
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a broadcast side at most; beyond it the join is shuffled and left to adaptive skew handling.
-BROADCAST_ROWS = 500_000
+from linkmill.tables import BROADCAST_ROWS, materialise, shared_dir, small, work_path  # noqa: F401  for the operators
+
 #: White space of the word and line rules, as a trim list and as a class of a regular expression.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,32 +18,6 @@ GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "linkmill")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; a repeated call never meets an older one's files."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it: cuts lineage and survives lost executors."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a written table for broadcast if its counted rows are within the limit, else leaves it as it is."""
-    return F.broadcast(side) if side.count() <= limit else side
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
