@@ -7,18 +7,20 @@ alike. The statistics are frozen after training, contexts don't reach past white
 text is the sum of its words' code lengths; words repeat, and each is coded once per block of texts.
 
 The language with the shortest code wins; score is its share of 2^-bits over all languages. The trees are fitted on a
-bounded sample: for each language, up to TRAIN_DOCS documents of at most TRAIN_BYTES, those with the smallest hash of id.
+bounded sample: for each of the TRAIN_LANGS labels with the most documents, whole documents in order of a hash of id and text,
+whatever their size, until TRAIN_DOCS of them or TRAIN_BYTES of text are reached; the first always counts. Only documents
+whose hash is below a threshold, set by the label's number of documents, are ranked.
 
-Defined results: `und` with score 0 for a null text, a text without a letter, and every text where no language was
-learned; ties go to the first language by code point; repeated rows are judged alike; an empty table gives an empty one.
+Defined results: `und` with score 0 for a null text, a text without a letter (Unicode category L), and every text where no
+language was learned; ties go to the first language by code point; repeated rows are judged alike, and learned from once;
+an empty table gives an empty one; columns of docs named as those added are left out.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,11 +29,12 @@ from linkmill.llm.common import materialise, small, tidy
 from linkmill.llm.pieces import BLOCK_CHARS, MOST_PIECES, runs
 
 ORDER = 4
-TRAIN_DOCS, TRAIN_BYTES = 400, 16_384
+#: Bounds of the sample: labels learned, documents of a label, and bytes of a label's texts after which no more are taken.
+TRAIN_LANGS, TRAIN_DOCS, TRAIN_BYTES = 500, 400, 2_000_000
 UND = "und"
 #: Rows whose texts are held as Python strings at a time.
 SLICE_ROWS = 1000
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _layout(words: list[bytes]):
@@ -141,17 +144,27 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_DOCS, most_bytes: int = TRAIN_BYTES) -> Model:
-    """The model of a bounded sample of the labelled rows that aren't held out."""
-    able = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col) & F.octet_length(text_col).between(1, most_bytes))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
-    keys = able.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"))
-    chosen = keys.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_lang).select("id", "lang", "h").distinct()
-    chosen = small(materialise(chosen, "langid-sample"))
-    texts = able.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
-    rows = texts.join(chosen, ["id", "lang", "h"], "left_semi").select("lang", "text").collect()
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_langs: int = TRAIN_LANGS, per_lang: int = TRAIN_DOCS, most_bytes: int = TRAIN_BYTES) -> DataFrame:
+    """(lang, text): the bounded sample of the labelled rows with a text that aren't held out."""
+    able = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col) & (F.octet_length(text_col) > 0))
+    keyed = able.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)).alias("h2"))
+    # distinct documents, so that copies of one don't crowd out the rest
+    counts = keyed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    # of so many documents about four times as many as are wanted have a hash below the threshold
+    counts = small(materialise(counts.select("lang", F.least(F.lit(1.0), 4.0 * per_lang / F.col("n")).alias("part")), "langid-labels"))
+    low = (F.col("h") / float(1 << 63) + 1.0) / 2.0 <= F.col("part")
+    ranked = keyed.withColumn("size", F.octet_length("text").cast("long")).select("lang", "h", "h2", "size").join(counts, "lang").where(low).drop("part").distinct()
+    order = Window.partitionBy("lang").orderBy("h", "h2")
+    chosen = ranked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_lang)
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = small(materialise(chosen.withColumn("before", before).where(F.col("before") < most_bytes).select("lang", "h", "h2"), "langid-sample"))
+    return keyed.join(chosen, ["lang", "h", "h2"], "left_semi").dropDuplicates(["lang", "h", "h2"]).select("lang", "text")
+
+
+def fit(docs: DataFrame, **bounds) -> Model:
+    """The model of training_sample(docs, **bounds), which is what the driver gathers."""
     by_lang: dict[str, list[str]] = {}
-    for lang, text in rows:
+    for lang, text in training_sample(docs, **bounds).collect():
         by_lang.setdefault(lang, []).append(text)
     return Model(by_lang)
 
