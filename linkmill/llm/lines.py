@@ -1,19 +1,19 @@
-"""Line dedup: explode normalised lines, hash, count documents per hash, drop lines over a threshold, reassemble.
+"""Line dedup: explode normalised lines, hash, count distinct documents per hash, drop lines over a threshold, reassemble.
 
 Built from DataFrame functions only. A line's key is the line stripped of `[\\x20\\x09-\\x0D]` at both ends with A-Z
-lower-cased; keys are held as 64-bit hashes, so that no text is shuffled to be counted.
+lower-cased; keys are held as 64-bit hashes, so that no text is shuffled to be counted; rows are told by 128 bits.
 
-Defined results: a null or empty text is one empty line; empty keys are never dropped; each row is a document of its own,
-so repeated rows count once each and all lose the same lines; other columns pass through, but for those
-named as the ones added; an empty table gives an empty one.
+Defined results: a null or empty text is one empty line; empty keys are never dropped; rows of one id are one document and
+count once, rows of null id are documents of their own, and all rows lose the same lines; other columns pass through, but for
+those named as the ones added; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import SPACES, ascii_lower, materialise, small
+from linkmill.llm.common import BROADCAST_ROWS, SPACES, ascii_lower, materialise, small
 
 MIN_DOCS = 10
 
@@ -26,34 +26,51 @@ def _hashes(text):
     return F.transform(F.split(ascii_lower(text), "\n", -1), of)
 
 
+ROW = ("_k1", "_k2")
+#: Line places of a broadcast side at most.
+BROADCAST_PLACES = 2_000_000
+
+
+def _row_key(id_col: str, text: Column) -> list[Column]:
+    return [F.xxhash64(F.col(id_col), text).alias(ROW[0]), F.xxhash64(F.lit(1), F.col(id_col), text).alias(ROW[1])]
+
+
 def line_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row_key, hashes) for each row: one hash per line in order, null for lines with an empty key."""
+    """(_k1, _k2, id, hashes) for each row: one hash per line in order, null for lines with an empty key."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.xxhash64(F.col(id_col), text).alias("row_key"), _hashes(text).alias("hashes"))
+    return docs.select(*_row_key(id_col, text), F.col(id_col).alias("id"), _hashes(text).alias("hashes"))
 
 
 def frequent_lines(hashes: DataFrame, min_docs: int) -> DataFrame:
-    """Hashes found in at least min_docs rows. A row counts a line once, before the shuffle, so counts combine on the map side."""
-    each = hashes.select(F.explode(F.array_distinct(F.array_compact("hashes"))).alias("h"))
+    """Hashes found in at least min_docs documents.
+
+    A row counts a line once, before the shuffle, so counts combine on the map side. Only rows whose id repeats have their
+    lines made distinct by id first.
+    """
+    each = hashes.select("id", F.explode(F.array_distinct(F.array_compact("hashes"))).alias("h"))
+    repeated = hashes.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select("id")
+    repeated = materialise(repeated, "lines-repeated-ids")
+    n = repeated.count()
+    if n:
+        side = F.broadcast(repeated) if n <= BROADCAST_ROWS else repeated
+        each = each.join(side, "id", "left_anti").select("h").unionByName(each.join(side, "id", "left_semi").distinct().select("h"))
     return each.groupBy("h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") >= min_docs)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with `text_col` rebuilt from its kept lines, and the columns _n_lines and _n_dropped."""
-    docs = docs.drop("_n_lines", "_n_dropped", "_lines", "_dropped", "_row_key")
+    docs = docs.drop("_n_lines", "_n_dropped", "_lines", "_dropped", *ROW)
     hashes = materialise(line_hashes(docs, id_col, text_col), "lines")
     frequent = small(materialise(frequent_lines(hashes, min_docs).select("h"), "frequent-lines"))
-    dropped = (
-        hashes.select("row_key", F.posexplode("hashes").alias("at", "h"))
-        .where(F.col("h").isNotNull())
-        .join(frequent, "h")
-        .groupBy("row_key")
-        .agg(F.collect_set("at").alias("_dropped"))
-    )
+    # repeated rows have equal lines, of which one row's places are enough
+    dropped = hashes.select(*ROW, F.posexplode("hashes").alias("at", "h")).where(F.col("h").isNotNull()).join(frequent, "h")
+    dropped = materialise(dropped.groupBy(*ROW).agg(F.collect_set("at").alias("_dropped")), "dropped-lines")
+    n, places = dropped.agg(F.count("*"), F.coalesce(F.sum(F.size("_dropped")), F.lit(0))).first()
+    if n <= BROADCAST_ROWS and places <= BROADCAST_PLACES:
+        dropped = F.broadcast(dropped)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col(id_col), text))
-    joined = keyed.join(dropped.withColumnRenamed("row_key", "_row_key").hint("shuffle_hash"), "_row_key", "left").drop("_row_key")
+    joined = docs.select("*", *_row_key(id_col, text)).join(dropped, list(ROW), "left").drop(*ROW)
     counted = joined.withColumn("_lines", lines)
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     rebuilt = F.when(F.col("_dropped").isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n"))
