@@ -1,16 +1,22 @@
 """Chat formatting in budgeted windows.
 
 A turn is written as `<s>role\\ntext</s>`. Control strings within a text get a backslash after their first character (one
-more if there are some), which can be taken out again. Prefix sums of the turns' tokens choose spans of whole turns that
-fit a budget; each window starts with the conversation's system turn and up to HISTORY earlier turns, both outside the
-loss, and a user turn goes with the reply that follows it. Loss spans cover each assistant text once, in the window in
-which it is new. A turn larger than the budget has a window of its own, whole.
+more if there are some), which can be taken out again. Prefix sums of the turns' tokens choose spans of whole turns: with P the
+tokens before each turn, a window that starts at turn s ends before the first turn e + 1 of P[e + 1] + tokens - P[s] > room, where
+room is the budget less what the window repeats; a user turn goes with the reply that follows it if the window holds others.
 
+A window repeats the conversation's first system turn, if that is at most SYSTEM_SHARE of the budget and fits together
+with the window's first turn, and up to HISTORY turns before it, within HISTORY_SHARE of the budget and what is left of it,
+fewer if need be. So no window is above the budget but that of a single turn which is, and repeats nothing; a larger system turn
+stands in its own place only. Repeated turns are outside the loss: each assistant text is under it once, where it is new.
+
+Tokens are runs of `[A-Za-z0-9_]` and single other characters that aren't `[\\x20\\x09-\\x0D]`, and TURN_TOKENS for a turn's marks.
 Rows stream through a task in order of conversation and turn: a task holds a window and the repeated turns, not a
 conversation.
 
 Defined results: null roles and texts are empty; turns of equal number are ordered by role and text, and repeated rows are
-turns of their own; a null conversation id is a conversation like others; an empty table gives an empty one.
+turns of their own; a null conversation id is a conversation like others; an empty table gives an empty one; other columns are
+left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,11 +31,11 @@ from pyspark.sql import functions as F
 
 from linkmill.llm.common import materialise, parts_for
 
-BUDGET, HISTORY, HISTORY_SHARE = 512, 2, 0.25
+BUDGET, HISTORY, HISTORY_SHARE, SYSTEM_SHARE, TURN_TOKENS = 512, 2, 0.25, 0.5, 4
+TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\x20\x09-\x0D]"
 #: Strings that a text mustn't hold unescaped, without their first characters `<` and `[`.
 CONTROLS = ("s>", "/s>", "<SYS>>", "</SYS>>", "INST]", "/INST]")
 _CONTROL = re.compile(r"([<\[])(\\*)(" + "|".join(map(re.escape, CONTROLS)) + ")")
-_TOKEN = re.compile(r"\w+|[^\w\s]")
 _TURN = re.compile(r"<s>(.*?)\n(.*?)</s>", re.S)
 
 
@@ -49,16 +55,12 @@ def _role_in(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.S)
 
 
-def n_tokens(role: str, text: str) -> int:
-    return sum(1 for _ in _TOKEN.finditer(text)) + 4
-
-
 class _Window:
-    """One window being filled; turns are (role, text, tokens)."""
+    """One window being filled; turns are (role, text, tokens), base is the prefix sum at its first new turn."""
 
-    def __init__(self, repeated: list[tuple]):
-        self.repeated, self.new = repeated, []
-        self.size = sum(t[2] for t in repeated)
+    def __init__(self, repeated: list[tuple], base: int, budget: int):
+        self.repeated, self.new, self.base = repeated, [], base
+        self.room = budget - sum(t[2] for t in repeated)
 
     def row(self, conv_id, number: int) -> tuple:
         out, spans, at = [], [], 0
@@ -71,40 +73,45 @@ class _Window:
         return conv_id, number, "".join(out), len(self.repeated), [a for a, _ in spans], [b for _, b in spans]
 
 
+def repeated_turns(system: tuple | None, before: list[tuple], first: tuple, budget: int, history: int) -> list[tuple]:
+    """What a window that begins with the turn `first` repeats; before: the turns before it, at least the last `history`."""
+    kept = [system] if system and system[2] <= budget * SYSTEM_SHARE and system[2] + first[2] <= budget else []
+    room = min(budget * HISTORY_SHARE, budget - first[2] - sum(t[2] for t in kept))
+    told = []
+    for t in reversed(before[len(before) - history :] if 0 < history < len(before) else before if history else []):
+        if t is system or t[2] > room:
+            break
+        room -= t[2]
+        told.insert(0, t)
+    return kept + told
+
+
 def windows(turns: Iterator[tuple], budget: int = BUDGET, history: int = HISTORY) -> Iterator[tuple]:
-    """From (conv_id, role, text) in order, rows of conv_id, window, text, n_repeated, loss_from, loss_to."""
-    window, number, conv, system, past, first = None, 0, None, None, [], True
-
-    def repeated(before: list[tuple]) -> list[tuple]:
-        room, kept = budget * HISTORY_SHARE, []
-        for t in reversed(before[-history:] if history else []):
-            if t is system or t[2] > room:
-                break
-            room -= t[2]
-            kept.insert(0, t)
-        return ([system] if system and not (kept and kept[0] is system) else []) + kept
-
-    for conv_id, role, text in turns:
-        if first or conv_id != conv:
-            if window and window.new:
+    """From (conv_id, role, text, tokens) in order, rows of conv_id, window, text, n_repeated, loss_from, loss_to."""
+    window, number, conv, system, past, upto = None, 0, None, None, [], 0
+    for conv_id, role, text, tokens in turns:
+        if window is None or conv_id != conv:
+            if window:
+                yield window.row(conv, number)
+            window, number, conv, system, past, upto = _Window([], 0, budget), 0, conv_id, None, [], 0
+        turn = (role, text, tokens)
+        coming = [turn]
+        if window.new and upto + tokens - window.base > window.room and role == "assistant" and len(window.new) > 1 and window.new[-1][0] == "user":
+            coming.insert(0, window.new.pop())
+            past.pop()
+            upto -= coming[0][2]
+            window.room = -1  # closed
+        for t in coming:
+            if window.new and (window.room < 0 or upto + t[2] - window.base > window.room):
                 yield window.row(conv, number)
-            window, number, conv, system, past, first = _Window([]), 0, conv_id, None, [], False
-        turn = (role, text, n_tokens(role, text))
-        if window.new and window.size + turn[2] > budget:
-            moved = [window.new.pop()] if role == "assistant" and len(window.new) > 1 and window.new[-1][0] == "user" else []
-            yield window.row(conv, number)
-            number += 1
-            again = past[: len(past) - len(moved)]
-            window = _Window(repeated(again))
-            for t in moved:
-                window.new.append(t)
-                window.size += t[2]
-        window.new.append(turn)
-        window.size += turn[2]
-        past = [*past[-(history + 1) :], turn]
-        if system is None and role == "system":
-            system = turn
-    if window and window.new:
+                number += 1
+                window = _Window(repeated_turns(system, past, t, budget, history), upto, budget)
+            window.new.append(t)
+            upto += t[2]
+            past = [*past[-(history + 1) :], t]
+            if system is None and t[0] == "system":
+                system = t
+    if window:
         yield window.row(conv, number)
 
 
@@ -114,12 +121,13 @@ _WINDOW = "conv_id long, window long, text string, n_repeated long, loss_from ar
 def format_conversations(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows (conv_id, window, text, n_repeated, loss_from, loss_to) of rows (conv_id, turn, role, text)."""
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("tokens", (F.regexp_count("text", F.lit(TOKEN)) + TURN_TOKENS).cast("long"))
     dealt = rows.repartition(parts_for(turns.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches):
         def each():
             for batch in batches:
-                yield from zip(batch.column("conv_id").to_pylist(), batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                yield from zip(batch.column("conv_id").to_pylist(), batch.column("role").to_pylist(), batch.column("text").to_pylist(), batch.column("tokens").to_pylist(), strict=True)
 
         def table(held):
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -190,4 +198,43 @@ def op4_chat_windows(spark, sf_dir: str) -> DataFrame:
     return read_back(materialise(format_conversations(turns.unionByName(planted)), "chat"))
 
 
-# turns and loss can be told in SQL; formatted_chars and n_windows belong to the format and are tested in Python
+_ESCAPE = r"regexp_replace({}, '([<\[])(\\*)(s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])', '\1\\\2\3', 'g')"
+#: Windows are told by a recursion over their first turns: room and repeated tokens depend on the first turn alone.
+OP4_SQL = rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PLANTED}' UNION ALL SELECT -1, 1, 'assistant', '{PLANTED}'
+), t AS (
+  SELECT conv_id, role, text, row_number() OVER o - 1 AS i, len(regexp_extract_all(text, '{TOKEN}')) + {TURN_TOKENS} AS n,
+    8 + length({_ESCAPE.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")}) + length({_ESCAPE.format("text")}) AS chars
+  FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), s AS (
+  SELECT conv_id, min(i) AS si, min_by(n, i) AS sn, min_by(chars, i) AS sc FROM t WHERE role = 'system' GROUP BY conv_id
+), p AS (
+  SELECT t.*, sum(n) OVER w - n AS before, count(*) OVER (PARTITION BY t.conv_id) AS turns, lead(role) OVER w AS next_role,
+    coalesce(i > si AND 2 * sn <= {BUDGET} AND sn + n <= {BUDGET}, false) AS sys, coalesce(sn, 0) AS sn, coalesce(sc, 0) AS sc,
+    CASE WHEN i >= 1 AND i - 1 IS DISTINCT FROM si THEN lag(n) OVER w END AS n1, CASE WHEN i >= 2 AND i - 1 IS DISTINCT FROM si AND i - 2 IS DISTINCT FROM si THEN lag(n, 2) OVER w END AS n2,
+    lag(chars) OVER w AS c1, lag(chars, 2) OVER w AS c2
+  FROM t LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM t.conv_id WINDOW w AS (PARTITION BY t.conv_id ORDER BY i)
+), h AS (
+  SELECT *, least({BUDGET} * {HISTORY_SHARE}, {BUDGET} - n - CASE WHEN sys THEN sn ELSE 0 END) AS free FROM p
+), r AS (
+  SELECT *, CASE WHEN n1 + n2 <= free THEN 2 WHEN n1 <= free THEN 1 ELSE 0 END AS k FROM h
+), m AS (
+  SELECT *, {BUDGET} - CASE WHEN sys THEN sn ELSE 0 END - CASE WHEN k > 0 THEN n1 ELSE 0 END - CASE WHEN k > 1 THEN n2 ELSE 0 END AS room,
+    CASE WHEN sys THEN sc ELSE 0 END + CASE WHEN k > 0 THEN c1 ELSE 0 END + CASE WHEN k > 1 THEN c2 ELSE 0 END AS again FROM r
+), e AS (
+  SELECT a.conv_id, a.i, a.again, greatest(a.i, max(b.i) FILTER (b.before + b.n - a.before <= a.room)) AS last FROM m a JOIN m b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i >= a.i GROUP BY a.conv_id, a.i, a.again
+), x AS (
+  SELECT e.*, CASE WHEN e.last + 1 = l.turns THEN NULL WHEN l.role = 'user' AND l.next_role = 'assistant' AND e.last > e.i THEN e.last ELSE e.last + 1 END AS then_at FROM e JOIN m l ON l.conv_id IS NOT DISTINCT FROM e.conv_id AND l.i = e.last
+), w AS (
+  SELECT conv_id, i, again, then_at FROM x WHERE i = 0
+  UNION ALL SELECT x.conv_id, x.i, x.again, x.then_at FROM w JOIN x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.i = w.then_at
+), ws AS (
+  SELECT conv_id, count(*) AS n_windows, sum(again) AS again FROM w GROUP BY conv_id
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars) AS chars FROM t GROUP BY conv_id
+)
+SELECT g.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, (chars + again)::BIGINT AS formatted_chars, n_windows FROM g JOIN ws ON g.conv_id IS NOT DISTINCT FROM ws.conv_id
+"""

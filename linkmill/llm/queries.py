@@ -1,7 +1,7 @@
 """The queries of the training-data operators and, where SQL can tell their result, the SQL."""
 
 from linkmill.llm.bpe import op3_byte_bpe
-from linkmill.llm.chat import op4_chat_windows
+from linkmill.llm.chat import OP4_SQL, op4_chat_windows
 from linkmill.llm.langid import op1_language_id
 from linkmill.llm.lines import OP9_SQL, op9_line_dedup
 from linkmill.llm.mixing import OP5_SQL, op5_mix_sources
@@ -17,4 +17,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op5_mix_sources": OP5_SQL, "op9_line_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op2_warc": OP2_SQL, "op4_chat_windows": OP4_SQL, "op5_mix_sources": OP5_SQL, "op9_line_dedup": OP9_SQL, "op10_quality_rules": OP10_SQL}
