@@ -1,9 +1,9 @@
 """WARC archives by way of a chunked record table.
 
 A payload becomes rows of (record, chunk number, bytes) of at most CHUNK bytes, each with the digest and the length up to
-its end, so that no later step holds a whole record. Records of equal payload of MIN_SHARED bytes or more are one response,
-that of the largest page id, and revisits that refer to it. Which are revisits is decided on digests alone; the decisions
-join the chunks in the same shuffle, as rows that sort before them.
+its end, cut from the bytes of the column as they came, so that no step holds a further copy of a record. Records of equal payload of MIN_SHARED bytes or more are one response,
+that of the largest page id, and revisits that refer to it. Which are revisits is decided on digests alone and before the
+chunks are dealt, so that revisits carry no payload through the shuffle.
 
 Each task writes one archive of a gzip member per record, to a name of its own attempt and then renamed, so that a
 repeated task leaves the same file. Reading streams a member at a time into the same chunked table and computes digests
@@ -20,13 +20,14 @@ import hashlib
 import uuid
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import materialise, parts_for, work_path
+from linkmill.llm.common import materialise, parts_for, small, work_path
 
 CHUNK, MIN_SHARED = 65_536, 1000
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {}\r\n\r\n"
@@ -37,21 +38,34 @@ _KINDS = {"page_id": pa.int64(), "url": pa.string(), "payload_digest": pa.string
 OUT_BYTES = 4_000_000
 
 
+def _payload_column(column: pa.Array):
+    """The bytes of each value of a string or binary column, as views of its buffer; a null has none."""
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, "<i8" if wide else "<i4")[column.offset : column.offset + len(column) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    for a, b in zip(at, at[1:], strict=False):
+        yield view[a:b]
+
+
 def chunk_table(pages: DataFrame) -> DataFrame:
-    """Rows (page_id, url, html) as CHUNKS; refers_to is null. uid numbers the rows of a task."""
+    """Rows (page_id, url, html, payload_digest, payload_bytes, refers_to) as CHUNKS; a revisit, whose html is null, has one empty chunk.
+
+    uid numbers the rows of a task.
+    """
 
     def run(batches):
         part, n = TaskContext.get().partitionId() << 40, 0
         held, size = [], 0
         for batch in batches:
-            for page, url, html in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
-                payload = (html.as_py() or "").encode()
-                whole, so_far = hashlib.sha1(payload).hexdigest(), hashlib.sha1()
+            told = [batch.column(c).to_pylist() for c in ("page_id", "url", "payload_digest", "payload_bytes", "refers_to")]
+            for page, url, whole, length, refers, payload in zip(*told, _payload_column(batch.column("html")), strict=True):
+                so_far = hashlib.sha1()
                 for k in range(max(1, -(-len(payload) // CHUNK))):
                     data = payload[k * CHUNK : (k + 1) * CHUNK]
                     so_far.update(data)
-                    held.append((page.as_py(), url.as_py(), whole, len(payload), part + n, k, data, so_far.hexdigest(), k * CHUNK + len(data), None))
-                    size += len(data)
+                    held.append((page, url, whole, length, part + n, k, bytes(data), so_far.hexdigest(), k * CHUNK + len(data), refers))
+                    size += len(data) + 200
                     if size > OUT_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), _KINDS.values(), strict=True)], list(_KINDS))
                         held, size = [], 0
@@ -59,16 +73,20 @@ def chunk_table(pages: DataFrame) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), _KINDS.values(), strict=True)], list(_KINDS))
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, CHUNKS)
+    return pages.select("page_id", "url", "html", "payload_digest", "payload_bytes", "refers_to").mapInArrow(run, CHUNKS)
 
 
-def revisits(pages: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
-    """(page_id, payload_digest, refers_to) of the pages that a page of larger id stands for."""
+def with_digests(pages: DataFrame) -> DataFrame:
+    """pages (page_id, url, html) with payload_digest and payload_bytes of the html's UTF-8 bytes."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    keys = pages.select("page_id", F.sha1(payload).alias("payload_digest"), F.octet_length(payload).alias("n")).where(F.col("n") >= min_shared)
-    keys = materialise(keys.select("page_id", "payload_digest"), "warc-keys")
+    return pages.select("page_id", "url", "html", F.sha1(payload).alias("payload_digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
+
+
+def revisits(digested: DataFrame, min_shared: int = MIN_SHARED) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the pages that a page of larger id stands for."""
+    keys = materialise(digested.where(F.col("payload_bytes") >= min_shared).select("page_id", "payload_digest"), "warc-keys")
     last = keys.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    last = materialise(last.select("payload_digest", "refers_to"), "warc-last")  # written, so that both sides of the join are dealt anew and hot digests can be split
+    last = small(materialise(last.select("payload_digest", "refers_to"), "warc-last"))  # written, so that both sides of the join are dealt anew and hot digests can be split
     return keys.join(last, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "payload_digest", "refers_to").distinct()
 
 
@@ -93,39 +111,42 @@ def _headers(record_type: str, row: dict, copy: int, length: int) -> bytes:
 
 def write_archives(pages: DataFrame, out_uri: str, min_shared: int = MIN_SHARED, parts: int | None = None) -> DataFrame:
     """Writes pages (page_id, url, html) under out_uri; the written manifest: path, n_records, n_bytes."""
-    decided = revisits(pages, min_shared)
-    blank = {"url": "string", "payload_bytes": "long", "digest_so_far": "string", "bytes_so_far": "long", "data": "binary"}
-    marks = decided.select("*", F.lit(-1).cast("long").alias("uid"), F.lit(-1).cast("long").alias("chunk_no"), *[F.lit(None).cast(t).alias(c) for c, t in blank.items()])
-    rows = chunk_table(pages).unionByName(marks)
+    digested = with_digests(pages)
+    decided = small(materialise(revisits(digested, min_shared), "warc-revisits"))
+    same = digested["page_id"].eqNullSafe(decided["page_id"]) & (digested["payload_digest"] == decided["payload_digest"])
+    again = decided["payload_digest"].isNotNull()
+    told = digested.join(decided, same, "left").select(
+        digested["page_id"], "url", F.when(~again, F.col("html")).alias("html"), digested["payload_digest"], "payload_bytes", "refers_to"
+    )
+    rows = chunk_table(told)
     dealt = rows.repartition(parts or parts_for(pages.sparkSession), "page_id", "payload_digest").sortWithinPartitions("page_id", "payload_digest", "uid", "chunk_no")
 
     def run(batches):
         fs, base = pafs.FileSystem.from_uri(out_uri)
         attempt, path = f"{base}/.attempt-{uuid.uuid4().hex}", f"{base}/part-{TaskContext.get().partitionId():06d}.warc.gz"
-        stream, n_records, key, mark, copy, packer = None, 0, None, None, -1, None
+        stream, n_records, key, copy, packer = None, 0, None, -1, None
         for batch in batches:
             columns = {c: batch.column(c) for c in _KINDS}
             for i in range(batch.num_rows):
                 row = {c: v[i].as_py() for c, v in columns.items()}
                 if (row["page_id"], row["payload_digest"]) != key:
-                    key, mark, copy = (row["page_id"], row["payload_digest"]), None, -1
-                if row["chunk_no"] < 0:
-                    mark = row
-                    continue
+                    key, copy = (row["page_id"], row["payload_digest"]), -1
                 if stream is None:
                     fs.create_dir(base, recursive=True)
                     stream = fs.open_output_stream(attempt, compression=None)
                 if row["chunk_no"] == 0:
                     copy += 1
                     n_records += 1
-                    again = row["payload_bytes"] >= min_shared and (mark is not None or copy > 0)
+                    # a page of its own digest's largest id revisits itself where its row is repeated
+                    again = row["refers_to"] is not None or row["payload_bytes"] >= min_shared and copy > 0
+                    if again and row["refers_to"] is None:
+                        row["refers_to"] = row["page_id"]
                     http = _HTTP.format(row["payload_bytes"]).encode()
                     packer = zlib.compressobj(4, zlib.DEFLATED, 31)
-                    row["refers_to"] = (mark["refers_to"] if mark else row["page_id"]) if again else None
                     stream.write(packer.compress(_headers("revisit" if again else "response", row, copy, len(http) + (0 if again else row["payload_bytes"])) + http))
                 if not again:
                     stream.write(packer.compress(row["data"]))
-                if row["bytes_so_far"] == row["payload_bytes"]:
+                if again and row["chunk_no"] == 0 or not again and row["bytes_so_far"] == row["payload_bytes"]:
                     stream.write(packer.compress(b"\r\n\r\n") + packer.flush())
         if stream is not None:
             size = stream.tell()
@@ -137,35 +158,46 @@ def write_archives(pages: DataFrame, out_uri: str, min_shared: int = MIN_SHARED,
 
 
 class _Members:
-    """The bytes of a file of gzip members, read(n) and line() at a time."""
+    """The bytes of a file of gzip members, read(n) and line() at a time; at most STEP bytes are inflated ahead."""
+
+    STEP = 1 << 16
 
     def __init__(self, f):
-        self.f, self.inflate, self.raw, self.held = f, zlib.decompressobj(31), b"", b""
+        self.f, self.inflate, self.raw, self.held, self.at = f, zlib.decompressobj(31), b"", bytearray(), 0
 
     def _more(self) -> bool:
         while True:
-            raw = self.raw or self.f.read(1 << 15)
-            if not raw:
-                return False
-            got = self.inflate.decompress(raw)
-            self.raw = self.inflate.unused_data
+            self.raw = self.raw or self.f.read(1 << 15)
+            ended = not self.raw  # what is inflated already may still wait
+            got = self.inflate.decompress(self.raw, self.STEP)
+            self.raw = self.inflate.unconsumed_tail
             if self.inflate.eof:
+                self.raw = self.inflate.unused_data
                 self.inflate = zlib.decompressobj(31)
             if got:
+                del self.held[: self.at]
+                self.at = 0
                 self.held += got
                 return True
+            if ended:
+                return False
 
     def read(self, n: int) -> bytes:
-        while len(self.held) < n and self._more():
+        while len(self.held) - self.at < n and self._more():
             pass
-        out, self.held = self.held[:n], self.held[n:]
+        out = bytes(self.held[self.at : self.at + n])
+        self.at += len(out)
         return out
 
     def line(self) -> bytes | None:
-        while b"\r\n" not in self.held:
+        seen = self.at
+        while (end := self.held.find(b"\r\n", seen)) < 0:
+            left = len(self.held) - self.at
             if not self._more():
                 return None
-        out, _, self.held = self.held.partition(b"\r\n")
+            seen = max(self.at, self.at + left - 1)
+        out = bytes(self.held[self.at : end])
+        self.at = end + 2
         return out
 
 
