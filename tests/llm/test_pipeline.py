@@ -45,8 +45,8 @@ def crc_held(i):
 def languages(docs):
     """Brute prediction by partial matching: counts of every context of every learned word."""
     trees = {}
-    for i, text, lang, *_ in docs:
-        if lang is None or i is None or crc_held(i) or not text or len(text.encode()) > langid.TRAIN_BYTES:
+    for i, text, lang, *_ in dict.fromkeys(docs):
+        if lang is None or i is None or crc_held(i) or not text:
             continue
         seen = trees.setdefault(lang, {})
         for w in text.lower().split():
@@ -137,10 +137,11 @@ def brute_run(docs):
     docs = [(d[0], d[1], of(d[1]), d[3]) for d in docs]
     docs = [d for d in docs if d[2] != "und"]
     keys = lambda t: [x.strip(SPACES).translate(LOWER) for x in t.split("\n")]
-    count = {}
-    for d in docs:
+    holders = {}
+    for n, d in enumerate(docs):
         for k in set(keys(d[1])):
-            count[k] = count.get(k, 0) + 1
+            holders.setdefault(k, set()).add(("null", n) if d[0] is None else d[0])
+    count = {k: len(v) for k, v in holders.items()}
     cut = [(d[0], "\n".join(x for x, k in zip(d[1].split("\n"), keys(d[1]), strict=True) if not (k and count[k] >= 10)), *d[2:]) for d in docs]
     docs = [c for c, d in zip(cut, docs, strict=True) if c[1] == d[1] or WORD.search(c[1])]
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
