@@ -31,23 +31,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id (null last); of repeated rows one.
 
-    A document is told by a hash of its id and text, so that documents with a null id or with one id and different texts
-    are judged each for itself.
+    Documents are told by their id and 128 bits of their text, so that those with a null id or with one id and different texts are
+    judged each for itself; those of one id or text are told by the order of their texts' hashes. Only rows that repeat or are in a
+    group are looked for; the others stay where they lie.
     """
     text_batches(spark)
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.length("text"), "text")
-    keyed = docs.withColumn("_key", key)
-    groups = ngram_join.near_groups(keyed, id_col="_key").where("n_shingles > 0").select(F.col("id").alias("_key"), "component_id").distinct()
-    groups = materialise(groups, "groups")
-    # a document alone in its component stays and isn't looked up; a hot component is joined with one row, by broadcast if counted small
-    shared = small(materialise(groups.groupBy("component_id").count().where("count > 1").select("component_id"), "shared"))
-    ids = keyed.select("_key", "doc_id").distinct()
-    named = groups.join(shared, "component_id", "left_semi").join(ids, "_key")
-    named = materialise(named.select("component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key").alias("who")), "named")
-    first = small(materialise(named.groupBy("component_id").agg(F.min("who").alias("first")), "first"))
-    removed = named.join(first, "component_id").where("who._key <> first._key").select(F.col("who._key").alias("_key"))
-    kept = keyed.join(materialise(removed, "removed"), "_key", "left_anti")
-    return kept.dropDuplicates(["_key"]).select(*COLUMNS)
+    k1, k2 = ngram_join.text_keys("text")
+    keyed = docs.select(*COLUMNS, k1.alias("_k1"), k2.alias("_k2"))
+    who = keyed.groupBy("doc_id", "_k1", "_k2").agg(F.count("*").alias("n"))
+    who = materialise(who, "documents")
+    shared = ngram_join.shared_components(docs)
+    # a group is one text of several ids, too
+    copies = who.groupBy("_k1", "_k2").agg(F.count("*").alias("ids")).where("ids > 1")
+    groups = shared.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "component").join(copies, ["_k1", "_k2"], "full")
+    groups = small(materialise(groups.select("_k1", "_k2", "component", F.when(F.col("component").isNull(), F.struct("_k1", "_k2")).alias("text")), "groups"))
+    blank = docs.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).select(k1.alias("_k1"), k2.alias("_k2")).distinct()
+    groups = groups.join(blank, ["_k1", "_k2"], "left_anti")  # texts without words are nobody's copies
+    named = who.join(groups, ["_k1", "_k2"]).select("component", "text", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2").alias("who"))
+    named = materialise(named, "named")
+    first = small(materialise(named.groupBy("component", "text").agg(F.min("who").alias("first")), "first"))
+    same = named["component"].eqNullSafe(first["component"]) & named["text"].eqNullSafe(first["text"])
+    removed = named.join(first, same).where(~F.col("who").eqNullSafe(F.col("first"))).select("who.doc_id", "who._k1", "who._k2")
+    marks = removed.withColumn("_gone", F.lit(True)).unionByName(who.where("n > 1").join(removed, [who[c].eqNullSafe(removed[c]) for c in ("doc_id", "_k1", "_k2")], "left_anti").select("doc_id", "_k1", "_k2", F.lit(False).alias("_gone")))
+    marks = small(materialise(marks, "marks"))
+    told = keyed.join(marks, [keyed[c].eqNullSafe(marks[c]) for c in ("doc_id", "_k1", "_k2")], "left").select(keyed["*"], "_gone")
+    once = told.where("_gone IS NULL").select(*COLUMNS)
+    return once.unionByName(told.where("NOT _gone").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*COLUMNS))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
