@@ -2,7 +2,8 @@
 
 Each round: every task replaces its edges by stars of the groups that they connect (a union-find over its own partition);
 nodes hook to the smallest centre they have, centres of one node to each other; then pointers are doubled. Rounds end when
-each node has one centre and no centre is a node. Every round is written to the shared folder, which cuts the lineage.
+each node has one centre and no centre is a node, or as soon as the edges left, which are counted, are few enough for one
+task's union-find to tell the same. Every round is written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ def stars(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 #: Edges of a task that are joined at a time; a partition of more is handed on in several stars.
 TASK_EDGES = 1_000_000
+#: Edges that one task finishes; below TASK_EDGES, so that it holds all of them.
+ONE_TASK = 400_000
 
 
 def _local_stars(edges: DataFrame) -> DataFrame:
@@ -80,6 +83,8 @@ def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     now = edges.select(F.col(src).cast("long").alias("node"), F.col(dst).cast("long").alias("centre")).where("node <> centre")
     while True:
         now = materialise(_local_stars(now), "stars")
+        if now.count() <= ONE_TASK:
+            return materialise(_local_stars(now.coalesce(1)), "stars")
         least = materialise(now.groupBy("node").agg(F.min("centre").alias("least"), F.count("*").alias("n")), "least")
         centres = now.select(F.col("centre").alias("node")).distinct()
         hooked = now.groupBy("node", "centre").agg(F.lit(1)).select("node", "centre")

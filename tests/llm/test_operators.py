@@ -11,6 +11,7 @@ import pytest
 
 from linkmill.llm import bpe, chat, langid, lines, mixing, near_vectors, ngram_join, quality, simple8b, warc
 from linkmill.llm.common import work_path
+from linkmill.llm import components as components_module
 from linkmill.llm.components import components
 
 P = pytest.importorskip("public_tokenizers")
@@ -456,8 +457,11 @@ def test_clashing_names(spark):
         assert sorted(map(repr, f(odd).collect())) == sorted(map(repr, f(plain).collect())), name
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(50)] + [(100, 90), (90, 95), (200, 200), (None, 3)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(7)
-    got = {r.node: r.centre for r in components(df, "a", "b").collect()}
-    assert got == {i: 0 for i in range(1, 51)} | {95: 90, 100: 90}
+    for few in (400_000, 0):
+        monkeypatch.setattr(components_module, "ONE_TASK", few)
+        got = {r.node: r.centre for r in components(df, "a", "b").collect()}
+        assert got == {i: 0 for i in range(1, 51)} | {95: 90, 100: 90}
+        assert components(df.limit(0), "a", "b").count() == 0
