@@ -156,7 +156,7 @@ def _sums(s: np.ndarray) -> tuple[int, int]:
 # ---------------------------------------------------------------- counting
 
 #: Rows of shingles (part >= 0) of a block or, packed anew, of a finer range; and rows that name a block's documents (part < 0).
-_PACKED = "part long, sub long, block long, lows binary, highs binary, places binary, codes binary, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
+_PACKED = "to long, part long, sub long, block long, lows binary, highs binary, places binary, codes binary, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
 
 
 def _columns(schema: str) -> tuple[list[str], list[pa.DataType]]:
@@ -193,9 +193,16 @@ def _codes(block: int, places: bytes) -> np.ndarray:
     return np.frombuffer(places, "<u2").astype(np.uint64) | np.uint64(block << 16)
 
 
-def _pack(sets, parts: int):
+def _routes(spark, parts: int) -> list[int]:
+    """A number for each partition that the shuffle deals to it alone, so that ranges don't meet in one task by chance."""
+    tried = spark.range(parts * 40).groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("at")).agg(F.min("id").alias("id")).collect()  # a row per partition
+    found = {r.at: r.id for r in tried}
+    return [found.get(p, p) for p in range(parts)]
+
+
+def _pack(sets, routes: list[int]):
     """From (id or None, text keys, shingles) rows: a row for each hash range of a block, and one that names the block's documents."""
-    n_blocks = TaskContext.get().partitionId() << 24
+    n_blocks, parts = TaskContext.get().partitionId() << 24, len(routes)
     names, arrays, held = [], [], 0
 
     def block():
@@ -206,12 +213,12 @@ def _pack(sets, parts: int):
         order = np.argsort(every, kind="stable")
         every, places = every[order], places[order].astype("<u2")
         cuts = np.searchsorted(_range_of(every, parts), np.arange(parts + 1, dtype=np.uint64)).tolist()
-        rows = [(p, 0, uid, *_split(every[a:b]), places[a:b].tobytes(), *[None] * 8) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        rows = [(routes[p], p, 0, uid, *_split(every[a:b]), places[a:b].tobytes(), *[None] * 8) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         sums = [_sums(a) for a in arrays]
         long = lambda v: np.array(v, "<i8").tobytes()
         ids, k1, k2 = zip(*names, strict=True)
         told = (long([i or 0 for i in ids]), bytes(i is None for i in ids), long([len(a) for a in arrays]), long([a for a, _ in sums]), long([b for _, b in sums]), long(k1), long(k2))
-        rows.append((-1 - uid % parts, -1, uid, None, None, None, None, *told))
+        rows.append((routes[uid % parts], -1 - uid % parts, -1, uid, None, None, None, None, *told))
         return _batch(rows, _PACKED)
 
     for name, s in sets:
@@ -241,16 +248,16 @@ def _regroup(parts: int, subs: int):
                 every, codes = every[order], codes[order]
                 sub = _range_of(every, parts * subs) - np.uint64(part * subs)
                 cuts = np.searchsorted(sub, np.arange(subs + 1, dtype=np.uint64)).tolist()
-                rows = [(part, k, None, *_split(every[a:b]), None, codes[a:b].astype("<u8").tobytes(), *[None] * 7) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+                rows = [(0, part, k, None, *_split(every[a:b]), None, codes[a:b].astype("<u8").tobytes(), *[None] * 7) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
                 yield _batch(rows, _PACKED)
             held.clear()
 
         for row in _rows(batches, _PACKED):
-            if row[0] < 0:
+            if row[1] < 0:
                 yield _batch([row], _PACKED)
                 continue
-            held.setdefault(row[0], []).append((row[3], row[4], row[2], row[5]))
-            n += len(row[5]) // 2
+            held.setdefault(row[1], []).append((row[4], row[5], row[3], row[6]))
+            n += len(row[6]) // 2
             if n >= REGROUP:
                 yield from flush()
                 n = 0
@@ -261,12 +268,14 @@ def _regroup(parts: int, subs: int):
 
 
 #: Answers (kind 1) for the documents of some blocks, which share `dest`, and rows that name a block's documents (kind 0).
-_ANSWER = "dest long, kind long, codes binary, counts binary, tokens binary, block long, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
+_ANSWER = "to long, dest long, kind long, codes binary, counts binary, tokens binary, block long, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
 
 
-def _answer(parts: int, tokens: bool):
+def _answer(routes: list[int], tokens: bool):
     """Of each hash range: how many shingles of which document occur elsewhere; with tokens, which and how often."""
 
+    parts = len(routes)
+
     def run(batches):
         acc: list[tuple] = []
         n_acc = 0
@@ -282,13 +291,13 @@ def _answer(parts: int, tokens: bool):
             codes, counts, dest = codes[order], np.minimum(counts[order], 0xFFFFFFFF).astype("<u4"), dest[order]
             names = names[order] if tokens else names
             heads = np.flatnonzero(np.concatenate([[True], dest[1:] != dest[:-1]])).tolist()
-            rows = [(int(dest[a]), 1, codes[a:b].astype("<u8").tobytes(), counts[a:b].tobytes(), names[a:b].astype("<u8").tobytes() if tokens else None, *[None] * 8) for a, b in zip(heads, [*heads[1:], len(dest)], strict=True)]
+            rows = [(routes[int(dest[a])], int(dest[a]), 1, codes[a:b].astype("<u8").tobytes(), counts[a:b].tobytes(), names[a:b].astype("<u8").tobytes() if tokens else None, *[None] * 8) for a, b in zip(heads, [*heads[1:], len(dest)], strict=True)]
             return _batch(rows, _ANSWER)
 
         def count(rows: list[tuple]) -> None:
             nonlocal n_acc
-            every = np.concatenate([_joined(r[3], r[4]) for r in rows])
-            codes = np.concatenate([_codes(r[2], r[5]) if r[6] is None else np.frombuffer(r[6], "<u8") for r in rows])
+            every = np.concatenate([_joined(r[4], r[5]) for r in rows])
+            codes = np.concatenate([_codes(r[3], r[6]) if r[7] is None else np.frombuffer(r[7], "<u8") for r in rows])
             values, at, n = np.unique(every, return_inverse=True, return_counts=True)
             n = n[at]
             shared = n > 1
@@ -298,13 +307,14 @@ def _answer(parts: int, tokens: bool):
 
         key, held = None, []
         for row in _rows(batches, _PACKED):
-            if row[0] < 0:
-                yield _batch([(-1 - row[0], 0, None, None, None, row[2], *row[7:])], _ANSWER)
+            if row[1] < 0:
+                dest = -1 - row[1]
+                yield _batch([(routes[dest], dest, 0, None, None, None, row[3], *row[8:])], _ANSWER)
                 continue
-            if row[:2] != key:
+            if row[1:3] != key:
                 if held:
                     count(held)
-                key, held = row[:2], []
+                key, held = row[1:3], []
                 if n_acc >= ANSWERS:
                     yield told()
                     n_acc = 0
@@ -328,7 +338,7 @@ def _by_dest(batches):
         return codes, long(1), np.concatenate([np.frombuffer(r[2], bool) for r in rows]), *(long(i) for i in range(3, 8))
 
     dest, named, answers = None, [], []
-    for row in _rows(batches, _ANSWER):
+    for _, *row in _rows(batches, _ANSWER):
         if row[0] != dest:
             if named:
                 yield names_of(named), answers
@@ -379,12 +389,13 @@ def _rare(least: int):
     return run
 
 
-def _counted(packed: DataFrame, parts: int, subs: int, last, schema: str, tokens: bool) -> DataFrame:
-    dealt = packed.repartition(parts, "part")
+def _counted(packed: DataFrame, routes: list[int], subs: int, last, schema: str, tokens: bool) -> DataFrame:
+    parts = len(routes)
+    dealt = packed.repartition(parts, "to")
     if subs > 1:
         dealt = dealt.mapInArrow(_regroup(parts, subs), _PACKED)
-    answers = dealt.sortWithinPartitions("part", "sub").mapInArrow(_answer(parts, tokens), _ANSWER)
-    return answers.repartition(parts, "dest").sortWithinPartitions("dest", "kind").mapInArrow(last, schema)
+    answers = dealt.sortWithinPartitions("part", "sub").mapInArrow(_answer(routes, tokens), _ANSWER)
+    return answers.repartition(parts, "to").sortWithinPartitions("dest", "kind").mapInArrow(last, schema)
 
 
 def _stored(batches):
@@ -623,6 +634,7 @@ def _searched(docs: DataFrame, id_col: str, text_col: str, width: int, least: in
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(spark)
+    routes = _routes(spark, parts)
     subs = max(1, -(-total // (RANGE_BYTES * parts)))
 
     def texts(batches):
@@ -631,7 +643,7 @@ def _searched(docs: DataFrame, id_col: str, text_col: str, width: int, least: in
             for k in range(0, len(names), 256):
                 yield from zip(names[k : k + 256], shingle_sets([t or "" for t in column.slice(k, 256).to_pylist()], width), strict=True)
 
-    told = materialise(_counted(rows.mapInArrow(lambda b: _pack(texts(b), parts), _PACKED), parts, subs, _told, _TOLD, False), "told")
+    told = materialise(_counted(rows.mapInArrow(lambda b: _pack(texts(b), routes), _PACKED), routes, subs, _told, _TOLD, False), "told")
     classes = told.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("least_id"), F.max("n").alias("n"), F.max("shared").alias("shared"), F.min(F.struct("k1", "k2")).alias("k"))
     classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     able = small(materialise(classes.where(F.col("shared") * 100 >= F.col("n") * least).select("class", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")), "able"))
@@ -651,7 +663,7 @@ def _searched(docs: DataFrame, id_col: str, text_col: str, width: int, least: in
 
     def recounted(last, schema: str, tokens: bool) -> DataFrame:
         bytes_of = (held.agg(F.sum("n")).first()[0] or 0) * 6  # of text, about
-        return _counted(held.mapInArrow(lambda b: _pack(_stored(b), parts), _PACKED), parts, max(1, -(-bytes_of // (RANGE_BYTES * parts))), last, schema, tokens)
+        return _counted(held.mapInArrow(lambda b: _pack(_stored(b), routes), _PACKED), routes, max(1, -(-bytes_of // (RANGE_BYTES * parts))), last, schema, tokens)
 
     while n_held:
         left = materialise(recounted(_told, _TOLD, False).where(F.col("shared") * 100 >= F.col("n") * least).select("id"), "left")
