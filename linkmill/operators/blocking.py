@@ -178,3 +178,15 @@ def multikey_candidates(reference: DataFrame, targets: DataFrame, config: dict =
 def top_candidates(candidates: DataFrame, k: int) -> DataFrame:
     """Those ranked up to k: a limit that is the feature."""
     return candidates.where(F.col("blocker_rank") <= k)
+
+
+def multikey_suppression(reference: DataFrame, targets: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
+    """Per family: keys of the reference, target probes that hit one, those suppressed by the cap, and the largest list and suppressed list."""
+    frequencies = token_frequencies(record_tokens(reference, config))
+    index = key_frequencies(multikeys(reference, frequencies, config), config)
+    probes = multikeys(targets, frequencies, config).groupBy("country", "family", "key").agg(F.count("*").alias("probes"))
+    over = F.col("key_df") > F.col("cap")
+    return index.join(probes, ["country", "family", "key"], "left").groupBy("family").agg(
+        F.count("*").alias("index_keys"), F.coalesce(F.sum("probes"), F.lit(0)).alias("probes_hitting_key"), F.coalesce(F.sum(F.when(over, F.col("probes"))), F.lit(0)).alias("suppressed"),
+        F.max("key_df").alias("largest_list"), F.coalesce(F.max(F.when(over & F.col("probes").isNotNull(), F.col("key_df"))), F.lit(0)).alias("largest_suppressed"),
+    )

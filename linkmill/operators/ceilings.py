@@ -88,10 +88,10 @@ def ceiling_coverage(pairs: DataFrame) -> DataFrame:
     return out.withColumn("coverage", F.round(X.ratio(F.col("covered"), F.col("gt_pairs"), 0.0), 6))
 
 
-def translit_diagnostics(reference: DataFrame, targets: DataFrame, truth: DataFrame, candidates: DataFrame, config: dict = DEFAULTS["multikey"]) -> DataFrame:
+def translit_diagnostics(reference: DataFrame, targets: DataFrame, truth: DataFrame, candidates: DataFrame, config: dict = DEFAULTS["multikey"], key_pairs: DataFrame | None = None) -> DataFrame:
     """One row of eight counters, and whether a target's transliteration meets a reference name that no shared key recovers."""
     frequencies = _frequencies(reference, config)
-    current = key_ceiling_pairs(reference, targets, truth, config).where("rule = 'current'")
+    current = (key_pairs if key_pairs is not None else key_ceiling_pairs(reference, targets, truth, config)).where("rule = 'current'")
     keyed = view_tokens(targets, config).where("view = 'translit' AND eligible").join(frequencies.where(F.col("df") <= config["name_max_df"]), ["country", "view", "token"], "left_semi")
     names = rule_tokens(reference, frequencies, config).where("rule = 'current' AND kind = 'name'").select("country", F.col("entity_id").alias("s1"), "token")
     spelt = rule_tokens(targets, frequencies, config).where("rule = 'current' AND kind = 'translit'").select("country", F.col("entity_id").alias("target"), "token")

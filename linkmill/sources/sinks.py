@@ -1,27 +1,33 @@
-"""Writers: partitioned Parquet, and the driver's small files (JSON, JSON lines, Markdown, manifests)."""
+"""Writers: partitioned Parquet tables, and the values of JSON files and Markdown reports."""
 
 from __future__ import annotations
 
-import hashlib
-import json
 import math
-import os
-from dataclasses import asdict, dataclass, field
 from datetime import date, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from linkmill.operators import validate
+
+ROW_GROUP_ROWS, ZSTD_LEVEL = 65_536, 3
+
+
+def _writer(df: DataFrame):
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    return w.option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).option("parquet.block.row.count.limit", ROW_GROUP_ROWS)
 
 
 def write_normalized(df: DataFrame, path: str, shard_rows: int = 300_000) -> None:
-    """split / source / country folders, Zstd; only partitions that df holds are replaced."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", shard_rows)
-    w.partitionBy("split", "source", "country").parquet(path)
+    """split / source / country folders, Zstd, at most shard_rows a file; only partitions that df holds are replaced."""
+    _writer(df).option("maxRecordsPerFile", shard_rows).partitionBy("split", "source", "country").parquet(path)
 
 
-def write_candidates(df: DataFrame, path: str) -> None:
-    ordered = df.sortWithinPartitions("target_entity_id", "candidate_s1_entity_id")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("country", "target_source").parquet(path)
+def write_candidates(df: DataFrame, path: str, schema: T.StructType, split: str) -> None:
+    """split / target_source / country folders of the columns of schema, in order of target and candidate within a file."""
+    ordered = validate.conform(df, schema).withColumn("split", F.lit(split)).sortWithinPartitions("country", "target_source", "target_entity_id", "candidate_s1_entity_id")
+    _writer(ordered).partitionBy("split", "target_source", "country").parquet(path)
 
 
 def json_safe(x):
@@ -34,85 +40,15 @@ def json_safe(x):
     return x.isoformat() if isinstance(x, (datetime, date)) else x
 
 
-def write_text(path: str | Path, text: str) -> None:
-    """Whole or not at all."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(path.name + ".tmp")
-    part.write_text(text, encoding="utf-8")
-    os.replace(part, path)
-
-
-def write_json(path: str | Path, value) -> None:
-    write_text(path, json.dumps(json_safe(value), indent=2, sort_keys=True, ensure_ascii=False) + "\n")
-
-
-def append_jsonl(path: str | Path, row: dict) -> None:
-    with open(path, "a", encoding="utf-8") as f:
-        f.write(json.dumps(json_safe(row), ensure_ascii=False) + "\n")
-
-
 def markdown_table(title: str, rows: list[dict]) -> str:
     names = list(rows[0]) if rows else []
-    lines = [f"# {title}", "", "| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
+    lines = [f"## {title}", "", "| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
     return "\n".join(lines + ["| " + " | ".join(str(r[n]) for n in names) + " |" for r in rows]) + "\n"
 
 
-def file_sha256(path: str | Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
-
-
-class ManifestError(ValueError):
-    """A manifest that can't be trusted."""
-
-
-@dataclass
-class Manifest:
-    """What a finished shard was made of: stage, identity, inputs, and its files with sizes and digests."""
-
-    stage: str
-    version: str
-    identity: dict
-    config_hash: str
-    input_hash: str
-    n_rows: int
-    files: dict[str, dict] = field(default_factory=dict)
-    status: str = "complete"
-
-    def __post_init__(self):
-        if self.n_rows < 0 or self.status not in ("complete", "failed"):
-            raise ManifestError("negative rows or unknown status")
-
-    @classmethod
-    def of(cls, folder: str | Path, **kw) -> "Manifest":
-        files = {p.name: {"bytes": p.stat().st_size, "sha256": file_sha256(p)} for p in sorted(Path(folder).glob("part-*"))}
-        return cls(files=files, **kw)
-
-    def save(self, path: str | Path) -> None:
-        write_json(path, asdict(self))
-
-    @classmethod
-    def load(cls, path: str | Path) -> "Manifest":
-        return cls(**json.loads(Path(path).read_text(encoding="utf-8")))
-
-
-def resumable(path: str | Path, folder: str | Path, **expected) -> tuple[bool, str]:
-    """Whether the shard in folder is as its manifest says and as expected; the reason if not."""
-    try:
-        m = Manifest.load(path)
-    except (OSError, ValueError, TypeError) as e:
-        return False, f"manifest: {e}"
-    if m.status != "complete":
-        return False, "not complete"
-    for k, v in expected.items():
-        if getattr(m, k) != v:
-            return False, f"{k} differs"
-    there = {p.name for p in Path(folder).glob("part-*")}
-    if there != set(m.files):
-        return False, "files differ"
-    for name, f in m.files.items():
-        p = Path(folder) / name
-        if p.stat().st_size != f["bytes"] or file_sha256(p) != f["sha256"]:
-            return False, f"{name} is corrupt"
-    return True, ""
+def markdown_report(title: str, parts: dict) -> str:
+    """A table for each part that is a list of rows, a line for each other."""
+    out = [f"# {title}", ""]
+    for name, value in parts.items():
+        out.append(markdown_table(name, value) if isinstance(value, list) and value and isinstance(value[0], dict) else f"- {name}: {value}\n")
+    return "\n".join(out)

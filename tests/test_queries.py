@@ -8,7 +8,7 @@ duckdb = pytest.importorskip("duckdb")
 D = "/root/testdata/sf0.001"
 from linkmill import queries as Q  # noqa: E402
 
-from linkmill import queries_parts  # noqa: E402, F401
+from linkmill import queries_io, queries_parts  # noqa: E402, F401
 
 NAMES = [*[n for n in Q.QUERIES if n in Q.SQL]]
 
