@@ -6,12 +6,15 @@ of a pair are one bool_or pivot rather than a join for each.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkmill.config import DEFAULTS
 from linkmill.functions import text as X
 from linkmill.operators import blocking
+from linkmill.tables import materialise
 
 PAIR = ("s1", "target", "source", "country")
 WATERFALL = ("rare_name", "name_number", "number_address", "name_address", "address_pair", "transliterated")
@@ -91,25 +94,18 @@ def ceiling_coverage(pairs: DataFrame) -> DataFrame:
 def translit_diagnostics(reference: DataFrame, targets: DataFrame, truth: DataFrame, candidates: DataFrame, config: dict = DEFAULTS["multikey"], key_pairs: DataFrame | None = None) -> DataFrame:
     """One row of eight counters, and whether a target's transliteration meets a reference name that no shared key recovers."""
     frequencies = _frequencies(reference, config)
-    current = (key_pairs if key_pairs is not None else key_ceiling_pairs(reference, targets, truth, config)).where("rule = 'current'")
+    pairs = key_pairs if key_pairs is not None else key_ceiling_pairs(reference, targets, truth, config)
+    current = materialise(pairs.where("rule = 'current'"), "ceiling-pairs")
     keyed = view_tokens(targets, config).where("view = 'translit' AND eligible").join(frequencies.where(F.col("df") <= config["name_max_df"]), ["country", "view", "token"], "left_semi")
     names = rule_tokens(reference, frequencies, config).where("rule = 'current' AND kind = 'name'").select("country", F.col("entity_id").alias("s1"), "token")
     spelt = rule_tokens(targets, frequencies, config).where("rule = 'current' AND kind = 'translit'").select("country", F.col("entity_id").alias("target"), "token")
     crossed = current.join(names, ["country", "s1"]).join(spelt, ["country", "target", "token"]).select(*PAIR, "translit_hit").distinct()
     stored = candidates.where("block_translit_name_hit OR block_translit_name_number_hit").select("country", F.col("target_entity_id").alias("entity_id"))
-    parts = {
-        "targets_eligible": targets.where(blocking.eligible()).agg(F.count("*")),
-        "targets_with_translit_keys": keyed.agg(F.count_distinct(F.struct("country", "entity_id"))),
-        "stored_targets": stored.join(targets, ["country", "entity_id"], "left_semi").agg(F.count_distinct(F.struct("country", "entity_id"))),
-        "pairs_sharing": current.agg(F.count_if("translit_hit")),
-        "pairs_unique": current.agg(F.count_if(F.expr(f"translit_hit AND NOT {_BY_NAME}"))),
-        "pairs_sharing_name": current.agg(F.count_if(F.expr("translit_hit AND name_hit"))),
-        "cross_namespace": crossed.agg(F.count("*")),
-        "cross_namespace_lost": crossed.agg(F.count_if(F.expr("NOT translit_hit"))),
-    }
-    rows = None
-    for metric, one in parts.items():
-        one = one.toDF("n").withColumn("metric", F.lit(metric))
-        rows = one if rows is None else rows.union(one)
-    out = rows.agg(*[F.max(F.when(F.col("metric") == m, F.col("n"))).alias(m) for m in parts])
-    return out.withColumn("issue", F.col("cross_namespace_lost") > 0)
+    rows = [
+        targets.where(blocking.eligible()).agg(F.count("*").alias("targets_eligible")),
+        keyed.agg(F.count_distinct(F.struct("country", "entity_id")).alias("targets_with_translit_keys")),
+        stored.join(targets, ["country", "entity_id"], "left_semi").agg(F.count_distinct(F.struct("country", "entity_id")).alias("stored_targets")),
+        current.agg(F.count_if("translit_hit").alias("pairs_sharing"), F.count_if(F.expr(f"translit_hit AND NOT {_BY_NAME}")).alias("pairs_unique"), F.count_if(F.expr("translit_hit AND name_hit")).alias("pairs_sharing_name")),
+        crossed.agg(F.count("*").alias("cross_namespace"), F.count_if(F.expr("NOT translit_hit")).alias("cross_namespace_lost"), (F.count_if(F.expr("NOT translit_hit")) > 0).alias("issue")),
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), rows)  # a row each

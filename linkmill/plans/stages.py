@@ -179,8 +179,7 @@ def _retrieve(spark: SparkSession, stage: str, name: str, out: str, config: dict
     made_of = {(m.split, f"S{m.source[6:]}", m.country): _made_of(inputs, m.split, m.source, m.country, rules, config["versions"][name], shard) for m in targets}
     manifests, found = artifacts.load_manifests(spark, folder), artifacts.describe(spark, folder, TARGET_KEYS)
     state = artifacts.check(manifests, found, stage, config["versions"][name], own_hash, {m.identity: made_of.get(m.identity, m.input_fingerprint) for m in manifests})
-    empty = {m.identity for m in manifests if m.output_rows == 0 and m.input_fingerprint == made_of.get(m.identity) and m.config_hash == own_hash and m.status == "complete"}
-    todo = {i for i in made_of if i not in empty and state.get(i, "new")}
+    todo = {i for i in made_of if state.get(i, "new")}
 
     def side(source_is_s1: bool) -> DataFrame:
         picked = [F.col(c).isin(sorted({i[k] for i in todo})) for c, k in (("split", 0), ("country", 2))]
@@ -199,7 +198,7 @@ def _retrieve(spark: SparkSession, stage: str, name: str, out: str, config: dict
     kept |= {m.identity: m for m in manifests if m.identity in made_of and m.identity not in todo}
     of_target = {(m.split, f"S{m.source[6:]}", m.country): m for m in targets}
     for i in todo:
-        s = there.get(i, {"n_files": 1, "n_rows": 0, "artifact_size_bytes": 0, "artifact_hash": "empty"})
+        s = there.get(i, {"n_files": 1, "n_rows": 0, "artifact_size_bytes": 0, "artifact_hash": artifacts.EMPTY})
         kept[i] = artifacts.Manifest(
             stage, config["versions"][name], *i, str(shard) if shard is not None else f"0-{s['n_files'] - 1}", of_target[i].output_rows, s["n_rows"], own_hash, runtime.code_commit(), made_of[i],
             f"{folder}/split={i[0]}/target_source={i[1]}/country={i[2]}", s["artifact_size_bytes"], s["artifact_hash"], time.monotonic() - began, monitor.sample().rss_bytes,
@@ -277,6 +276,7 @@ def audit_union(spark: SparkSession, root: str, out: str, config: dict = DEFAULT
         held = {m.identity for m in artifacts.load_manifests(spark, folder) if m.stage == stage and m.status == "complete"}
         if held != wanted:
             raise StageError(f"{folder}: shards {sorted(wanted - held)} are missing, {sorted(held - wanted)} are too many")
+        artifacts.require(spark, folder, stage, keys=TARGET_KEYS)
     rows = spark.read.parquet(normalized_root)
     targets = rows.where("source <> 'source1'")
     t, s1 = targets.where("split = 'train'"), rows.where("split = 'train' AND source = 'source1'")

@@ -12,7 +12,8 @@ def spark(tmp_path_factory):
 
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.codegen.wholeStage", "false").config("spark.sql.codegen.factoryMode", "NO_CODEGEN")  # tables are tiny: compiling plans is most of the time
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

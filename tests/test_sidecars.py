@@ -36,9 +36,20 @@ def test_states():
     assert state(m, [held], own="d") == "configuration differs" and state(m, [held], made="j") == "inputs differ"
     assert state(m, [held], stage="s") == state(m, [held], version="v2") == "stage differs"
     assert state(artifacts.Manifest(**(MADE | {"status": "failed"})), [held]) == "not complete"
+    assert state(artifacts.Manifest(**(MADE | {"output_rows": 0, "artifact_hash": artifacts.EMPTY})), []) == ""
     assert artifacts.check([], [held], "normalization", "v1", "c", {}) == {("train", "source1", "US"): "no manifest"}
 
 
+def test_folders_of_odd_names(spark, tmp_path):
+    """Partition values that can't stand in a path as they are come back whole, from the table and from its listing."""
+    root, odd = str(tmp_path / "t"), ["A/B c=é%", "100% +plus", "plain"]
+    rows = [("train", "source1", c, f"S1-{i}") for i, c in enumerate(odd)]
+    sinks.write_normalized(spark.createDataFrame(rows, "split string, source string, country string, entity_id string"), root)
+    assert {r.country for r in readers.partition_shards(spark, root, shard=0).collect()} == set(odd)
+    assert {s["country"]: s["n_rows"] for s in artifacts.describe(spark, root)} == dict.fromkeys(odd, 1)
+    assert readers.partition_shards(spark, root, shard=3).count() == 0 and readers.partition_shards(spark, root, country=["plain"]).count() == 1
+
+
 def test_files(spark, tmp_path):
     root = str(tmp_path / "deep")
     files.write_text(spark, f"{root}/a/x.tsv", "one\n")
