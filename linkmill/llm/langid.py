@@ -30,7 +30,7 @@ from linkmill.llm.pieces import BLOCK_CHARS, MOST_PIECES, runs
 
 ORDER = 4
 #: Bounds of the sample: labels learned, documents of a label, and bytes of a label's texts after which no more are taken.
-TRAIN_LANGS, TRAIN_DOCS, TRAIN_BYTES = 500, 400, 2_000_000
+TRAIN_LANGS, TRAIN_DOCS, TRAIN_BYTES = 500, 400, 500_000
 UND = "und"
 #: Rows whose texts are held as Python strings at a time.
 SLICE_ROWS = 1000

@@ -45,9 +45,9 @@ from linkmill.llm.components import Groups, components
 
 WIDTH, LEAST = 5, 75
 #: Bytes of text hashed at a time, shingles of a block, text bytes of a counting range, shingles searched in one group.
-CHUNK, BLOCK_SHINGLES, RANGE_BYTES, GROUP_SHINGLES = 1 << 19, 700_000, 5_000_000, 1_000_000
+CHUNK, BLOCK_SHINGLES, RANGE_BYTES, GROUP_SHINGLES = 1 << 19, 500_000, 5_000_000, 1_000_000
 #: Shingles packed anew together, answers put together, least hashes of the first search, classes of a short list.
-REGROUP, ANSWERS, ROUNDS, SHORT = 3_000_000, 1_000_000, 3, 64
+REGROUP, ANSWERS, ROUNDS, SHORT = 1_000_000, 500_000, 3, 64
 _M = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15
 _Q = pow(_P, -1, 1 << 64)
