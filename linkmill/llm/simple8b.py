@@ -5,10 +5,10 @@ block its byte offset and its number of ids, per document its id, whether that i
 footer's length and b"S8BEND01". Blocks decode by themselves, each selector in one vectorised step. Selector 0 is the
 escape: the word after it is one id of more than 60 bits.
 
-Texts are encoded where they lie, and their ids, two bytes each where that is enough, written to the shared folder. Documents stand in
-ascending id order, nulls first: ids are dealt by ranges of (document id, hash of text), a file per range, so that rows of one id
-or of none can be split, too; a file is written to a name of its own attempt and then renamed, so that a repeated task leaves
-the same file.
+Documents stand in ascending id order, nulls first: texts are dealt by ranges of (document id, hash of text), a file per range, so
+that rows of one id or of none can be split, too; a file is written to a name of its own attempt and then renamed, so that a
+repeated task leaves the same file. Texts are encoded by the task that writes them: ids would be less to shuffle, but had to be
+written first, as ranges are found by a pass of their own, and cost more than that saves.
 
 Defined results: a null text is an empty one and has the end id only; repeated rows are written one by one, rows of one id in
 order of their texts' hashes; other columns are left out, whatever their names; an empty table gives no file and no row.
@@ -38,8 +38,6 @@ HEAD, TAIL = b"S8BTOK01", b"S8BEND01"
 BLOCK = 65_536
 #: Rows whose texts are held as Python strings at a time.
 SLICE_ROWS = 10_000
-#: Bytes of ids in an output batch.
-OUT_BYTES = 8_000_000
 #: Pieces encoded by one call, and characters of texts whose pieces are told apart together.
 JOINED, JOINED_CHARS = 400, 16_000_000
 END_ID = 2
@@ -267,51 +265,27 @@ def _encoder(path: str) -> BlockEncoder:
     return _ENCODERS[path]
 
 
-_ENCODED = "id long, h long, wide boolean, ids binary"
-
-
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h, wide, ids) of each row: a hash of its text, and its ids as little-endian integers of 2 bytes or, if wide, 4."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-
-    def run(batches):
-        encoder = _encoder(tokenizer_path)
-        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            held, wide, start, size = [], [], 0, 0
-            for i, got in enumerate(encoder.texts(texts)):
-                wide.append(bool(len(got)) and int(got.max()) > 0xFFFF)
-                held.append(got.tobytes() if wide[-1] else got.astype("<u2").tobytes())
-                size += len(held[-1])
-                if size > OUT_BYTES or i + 1 == len(texts):
-                    columns = [batch.column(c).slice(start, len(held)) for c in ("id", "h")] + [pa.array(wide), pa.array(held, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "h", "wide", "ids"])
-                    held, wide, start, size = [], [], i + 1, 0
-        tidy()
-
-    return rows.mapInArrow(run, _ENCODED)
-
-
 def write_token_files(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, parts: int | None = None) -> DataFrame:
     """Writes docs (an integer id, a text) under out_uri; the written manifest: shard, path, n_docs, n_tokens."""
-    encoded = materialise(encode(docs, tokenizer_path, id_col, text_col), "token-ids")  # written, as ranges are found by a pass of their own
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     order = (F.col("id").asc_nulls_first(), F.col("h"))
-    dealt = encoded.repartitionByRange(parts or parts_for(docs.sparkSession), *order).sortWithinPartitions(*order)
+    dealt = rows.repartitionByRange(parts or parts_for(docs.sparkSession), *order).sortWithinPartitions(*order).select("id", "text")
     end = np.array([end_id], "<u4")
 
     def run(batches):
-        shard, writer, n_docs, n_tokens = TaskContext.get().partitionId(), None, 0, 0
+        encoder, shard, writer, n_docs, n_tokens = _encoder(tokenizer_path), TaskContext.get().partitionId(), None, 0, 0
         fs, base = pafs.FileSystem.from_uri(out_uri)
         attempt, path = f"{base}/.attempt-{uuid.uuid4().hex}", f"{base}/shard-{shard:06d}.s8b"
-        for batch in batches:
-            for doc, wide, ids in zip(batch.column("id").to_pylist(), batch.column("wide").to_pylist(), batch.column("ids"), strict=True):
+        for batch in (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS)):
+            ids, texts = batch.column("id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
+            for doc, got in zip(ids, encoder.texts(texts), strict=True):
                 if writer is None:
                     fs.create_dir(base, recursive=True)
                     stream = fs.open_output_stream(attempt, compression=None)
                     writer = Writer(stream)
-                got = np.frombuffer(ids.as_buffer(), "<u4" if wide else "<u2")
                 writer.add(doc, np.concatenate([got, end]))
                 n_docs, n_tokens = n_docs + 1, n_tokens + len(got) + 1
+        tidy()
         if writer is not None:
             writer.close()
             stream.close()
