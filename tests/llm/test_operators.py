@@ -231,7 +231,7 @@ def test_chat(spark):
         assert (out[conv].loss_chars, out[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     windows = sorted(formatted.where("conv_id = 1").collect(), key=lambda w: w.window)
     # the system turn is left out only where it doesn't fit together with the window's first turn
-    system = budget_of(f"<s>system\n{chat.parse(windows[0].text)[0][1]}</s>")
+    system = budget_of(f"<s>system\n{chat.escape(chat.parse(windows[0].text)[0][1])}</s>")
     first = lambda w: budget_of("<s>{}\n{}</s>".format(*map(chat.escape, chat.parse(w.text)[0])))
     assert len(windows) > 3 and all(w.text.startswith("<s>system\n") or w.n_repeated == 0 and system + first(w) > chat.BUDGET for w in windows)
     assert not any(c in chat.escape(said) for c in ("</s>", "[INST]", "[/INST]", "<<SYS>>"))
