@@ -40,13 +40,16 @@ def with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructTyp
     return T.StructType([*[f for f in schema.fields if f.name != name], T.StructField(name, kind)])
 
 
-#: Rows of an Arrow batch that carries whole texts; the default of 10,000 holds tens of MB on both sides of the pipe.
-TEXT_ROWS = 1000
-_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes of an Arrow batch that carries whole texts; the default of 10,000 rows holds tens of MB on both sides of the pipe,
+#: and so do 1,000 rows that are long. A row that is longer is a batch of its own.
+TEXT_ROWS, TEXT_BYTES = 1000, 4_000_000
+_ROWS_KEY, _BYTES_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Lowers the session's Arrow batches to `rows` rows; one that is lower already stays."""
+    """Lowers the session's Arrow batches to `rows` rows, unless they are lower already, and to TEXT_BYTES, unless their bytes were set."""
+    if spark.conf.get(_BYTES_KEY, None) is None:
+        spark.conf.set(_BYTES_KEY, str(TEXT_BYTES))
     now = int(spark.conf.get(_ROWS_KEY))
     if now <= 0 or now > rows:
         spark.conf.set(_ROWS_KEY, str(rows))

@@ -6,8 +6,8 @@ A document that links with any other shares at least `least` percent of its own
    the documents of each hash and answers, per document, how many of its shingles occur elsewhere. A document with too few
    can have no link and is done; most are. Copies with equal sets are one class from here on. Counting repeats among the
    classes that remain while it removes a tenth of them; it only prunes, so where it stops doesn't change the result.
-   Partitions are those of the session; one that holds more than RANGE_BYTES of text is cut into finer ranges, which are
-   packed anew and sorted within the partition, and counted one by one.
+   Partitions are those of the session; one that holds more than RANGE_BYTES of text is cut into finer ranges, which the task
+   writes to a temporary file of its own and counts one by one.
 2. First search: classes that agree in one of ROUNDS least hashes are searched together, in blocks of at most GROUP_SHINGLES that
    share the group's first class. This is linear, finds nearly all links of large groups of near copies, and leaves components.
 3. Second search, which makes the result exact: of each class, shingles in order of frequency; two linked sets share one among the
@@ -30,6 +30,7 @@ all its members' are null; other columns are left out, whatever their names; an
 
 from __future__ import annotations
 
+import tempfile
 from bisect import bisect_left
 from heapq import merge
 from math import log2
@@ -40,13 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkmill.llm.common import materialise, parts_for, small, tidy
+from linkmill.llm.common import materialise, parts_for, small, text_batches, tidy
 from linkmill.llm.components import Groups, components
 
 WIDTH, LEAST = 5, 75
 #: Bytes of text hashed at a time, shingles of a block, text bytes of a counting range, shingles searched in one group.
 CHUNK, BLOCK_SHINGLES, RANGE_BYTES, GROUP_SHINGLES = 1 << 19, 500_000, 5_000_000, 1_000_000
-#: Shingles packed anew together, answers put together, least hashes of the first search, classes of a short list.
+#: Shingles written to finer ranges together, answers put together, least hashes of the first search, classes of a short list.
 REGROUP, ANSWERS, ROUNDS, SHORT = 1_000_000, 500_000, 3, 64
 _M = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15
@@ -155,8 +156,8 @@ def _sums(s: np.ndarray) -> tuple[int, int]:
 
 # ---------------------------------------------------------------- counting
 
-#: Rows of shingles (part >= 0) of a block or, packed anew, of a finer range; and rows that name a block's documents (part < 0).
-_PACKED = "to long, part long, sub long, block long, lows binary, highs binary, places binary, codes binary, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
+#: Rows of shingles (part >= 0) of a block, and rows that name a block's documents (part < 0).
+_PACKED = "to long, part long, block long, lows binary, highs binary, places binary, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
 
 
 def _columns(schema: str) -> tuple[list[str], list[pa.DataType]]:
@@ -213,12 +214,12 @@ def _pack(sets, routes: list[int]):
         order = np.argsort(every, kind="stable")
         every, places = every[order], places[order].astype("<u2")
         cuts = np.searchsorted(_range_of(every, parts), np.arange(parts + 1, dtype=np.uint64)).tolist()
-        rows = [(routes[p], p, 0, uid, *_split(every[a:b]), places[a:b].tobytes(), *[None] * 8) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        rows = [(routes[p], p, uid, *_split(every[a:b]), places[a:b].tobytes(), *[None] * 7) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         sums = [_sums(a) for a in arrays]
         long = lambda v: np.array(v, "<i8").tobytes()
         ids, k1, k2 = zip(*names, strict=True)
         told = (long([i or 0 for i in ids]), bytes(i is None for i in ids), long([len(a) for a in arrays]), long([a for a, _ in sums]), long([b for _, b in sums]), long(k1), long(k2))
-        rows.append((routes[uid % parts], -1 - uid % parts, -1, uid, None, None, None, None, *told))
+        rows.append((routes[uid % parts], -1 - uid % parts, uid, None, None, None, *told))
         return _batch(rows, _PACKED)
 
     for name, s in sets:
@@ -234,45 +235,56 @@ def _pack(sets, routes: list[int]):
     tidy()
 
 
-def _regroup(parts: int, subs: int):
-    """Shingles of a partition in larger rows of finer ranges, sub, of each range."""
-
-    def run(batches):
-        held: dict[int, list[tuple]] = {}
-        n = 0
-
-        def flush():
-            for part, some in held.items():
-                every, codes = np.concatenate([_joined(r[0], r[1]) for r in some]), np.concatenate([_codes(r[2], r[3]) for r in some])
-                order = np.argsort(every, kind="stable")
-                every, codes = every[order], codes[order]
-                sub = _range_of(every, parts * subs) - np.uint64(part * subs)
-                cuts = np.searchsorted(sub, np.arange(subs + 1, dtype=np.uint64)).tolist()
-                rows = [(0, part, k, None, *_split(every[a:b]), None, codes[a:b].astype("<u8").tobytes(), *[None] * 7) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
-                yield _batch(rows, _PACKED)
-            held.clear()
-
-        for row in _rows(batches, _PACKED):
-            if row[1] < 0:
-                yield _batch([row], _PACKED)
-                continue
-            held.setdefault(row[1], []).append((row[4], row[5], row[3], row[6]))
-            n += len(row[6]) // 2
-            if n >= REGROUP:
-                yield from flush()
-                n = 0
-        yield from flush()
-        tidy()
-
-    return run
+class _Ranges:
+    """Shingles of a task's hash ranges, each cut into so many finer ones, in a temporary file; `most` of them are put there at a time."""
+
+    def __init__(self, file, parts: int, subs: int, most: int):
+        self.file, self.parts, self.subs, self.most = file, parts, subs, most
+        self.lies: dict[tuple[int, int], list[tuple[int, int]]] = {}  # of each finer range: offset and number of shingles
+        self.held: dict[int, list[tuple]] = {}
+        self.n = 0
+
+    def add(self, part: int, block: int, lows: bytes, highs: bytes, places: bytes) -> None:
+        self.held.setdefault(part, []).append((block, lows, highs, places))
+        self.n += len(places) // 2
+        if self.n >= self.most:
+            self.write()
+
+    def write(self) -> None:
+        for part, some in self.held.items():
+            every, codes = np.concatenate([_joined(r[1], r[2]) for r in some]), np.concatenate([_codes(r[0], r[3]) for r in some])
+            sub = _range_of(every, self.parts * self.subs) - np.uint64(part * self.subs)
+            order = np.argsort(sub, kind="stable")
+            every, codes = every[order], codes[order]
+            cuts = np.searchsorted(sub[order], np.arange(self.subs + 1, dtype=np.uint64)).tolist()
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                if b > a:
+                    self.lies.setdefault((part, k), []).append((self.file.tell(), b - a))
+                    self.file.writelines((*_split(every[a:b]), codes[a:b].astype("<u8").tobytes()))
+        self.held.clear()
+        self.n = 0
+
+    def read(self):
+        """Yields (hashes, documents) of each finer range."""
+        self.write()
+        for key in sorted(self.lies):
+            every, codes = [], []
+            for offset, n in self.lies[key]:
+                self.file.seek(offset)
+                every.append(_joined(self.file.read(4 * n), self.file.read(2 * n)))
+                codes.append(np.frombuffer(self.file.read(8 * n), "<u8"))
+            yield np.concatenate(every), np.concatenate(codes)
 
 
 #: Answers (kind 1) for the documents of some blocks, which share `dest`, and rows that name a block's documents (kind 0).
 _ANSWER = "to long, dest long, kind long, codes binary, counts binary, tokens binary, block long, ids binary, nulls binary, sizes binary, s1 binary, s2 binary, k1 binary, k2 binary"
 
 
-def _answer(routes: list[int], tokens: bool):
-    """Of each hash range: how many shingles of which document occur elsewhere; with tokens, which and how often."""
+def _answer(routes: list[int], subs: int, tokens: bool):
+    """Of each hash range: how many shingles of which document occur elsewhere; with tokens, which and how often.
+
+    Cutting and counting are one step of one worker: two in a task would keep twice the workers for the rest of the session.
+    """
 
     parts = len(routes)
 
@@ -294,10 +306,8 @@ def _answer(routes: list[int], tokens: bool):
             rows = [(routes[int(dest[a])], int(dest[a]), 1, codes[a:b].astype("<u8").tobytes(), counts[a:b].tobytes(), names[a:b].astype("<u8").tobytes() if tokens else None, *[None] * 8) for a, b in zip(heads, [*heads[1:], len(dest)], strict=True)]
             return _batch(rows, _ANSWER)
 
-        def count(rows: list[tuple]) -> None:
+        def count(every: np.ndarray, codes: np.ndarray) -> None:
             nonlocal n_acc
-            every = np.concatenate([_joined(r[4], r[5]) for r in rows])
-            codes = np.concatenate([_codes(r[3], r[6]) if r[7] is None else np.frombuffer(r[7], "<u8") for r in rows])
             values, at, n = np.unique(every, return_inverse=True, return_counts=True)
             n = n[at]
             shared = n > 1
@@ -305,24 +315,22 @@ def _answer(routes: list[int], tokens: bool):
                 acc.append((codes[shared], n[shared] if tokens else np.ones(int(shared.sum()), np.int64), every[shared] if tokens else np.zeros(0, np.uint64)))
                 n_acc += len(acc[-1][0])
 
-        key, held = None, []
-        for row in _rows(batches, _PACKED):
-            if row[1] < 0:
-                dest = -1 - row[1]
-                yield _batch([(routes[dest], dest, 0, None, None, None, row[3], *row[8:])], _ANSWER)
-                continue
-            if row[1:3] != key:
-                if held:
-                    count(held)
-                key, held = row[1:3], []
+        with tempfile.TemporaryFile() as file:
+            ranges = _Ranges(file, parts, subs, REGROUP)
+            for row in _rows(batches, _PACKED):
+                if row[1] < 0:
+                    dest = -1 - row[1]
+                    yield _batch([(routes[dest], dest, 0, None, None, None, row[2], *row[6:])], _ANSWER)
+                else:
+                    ranges.add(*row[1:6])
+            for every, codes in ranges.read():
+                count(every, codes)
                 if n_acc >= ANSWERS:
                     yield told()
                     n_acc = 0
-            held.append(row)
-        if held:
-            count(held)
         if acc:
             yield told()
+        ranges = every = codes = None
         tidy()
 
     return run
@@ -391,10 +399,7 @@ def _rare(least: int):
 
 def _counted(packed: DataFrame, routes: list[int], subs: int, last, schema: str, tokens: bool) -> DataFrame:
     parts = len(routes)
-    dealt = packed.repartition(parts, "to")
-    if subs > 1:
-        dealt = dealt.mapInArrow(_regroup(parts, subs), _PACKED)
-    answers = dealt.sortWithinPartitions("part", "sub").mapInArrow(_answer(routes, tokens), _ANSWER)
+    answers = packed.repartition(parts, "to").mapInArrow(_answer(routes, subs, tokens), _ANSWER)
     return answers.repartition(parts, "to").sortWithinPartitions("dest", "kind").mapInArrow(last, schema)
 
 
@@ -630,6 +635,7 @@ def text_keys(text_col: str = "text") -> tuple[Column, Column]:
 def _searched(docs: DataFrame, id_col: str, text_col: str, width: int, least: int) -> tuple[DataFrame, DataFrame]:
     """(id, n, s1, s2, k1, k2) of each row, and (s1, s2, centre, least_id) of each distinct set, with the class that stands for its component."""
     spark = docs.sparkSession
+    text_batches(spark)
     k1, k2 = text_keys(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0

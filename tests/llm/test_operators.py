@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from linkmill.llm import bpe, chat, langid, lines, mixing, near_vectors, ngram_join, quality, simple8b, warc
-from linkmill.llm.common import work_path
+from linkmill.llm.common import text_batches, work_path
 from linkmill.llm import components as components_module
 from linkmill.llm.components import components
 
@@ -358,6 +359,60 @@ def test_ngram_join(docs, monkeypatch):
     assert ngram_join.near_groups(docs.limit(0)).count() == 0
 
 
+def test_ngram_join_counts_in_one_worker_a_task(spark, docs):
+    sets = [((i, 0, 0), np.arange(i, i + 9, dtype=np.uint64) << np.uint64(60)) for i in range(5)]
+    packed = spark.range(0, 1, 1, 1).mapInArrow(lambda _: ngram_join._pack(sets, list(range(4))), ngram_join._PACKED)
+    told = ngram_join._counted(packed, list(range(4)), 3, ngram_join._told, ngram_join._TOLD, False)
+    plan = told._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 3  # to pack, to count, to tell: more of a stage's steps hold a worker each
+    assert max(part.count("MapInArrow") for part in plan.split("Exchange")) == 1
+    # 4-bit hashes: those of 9 values in turn, of which 5 documents share what the neighbours have
+    values = [{k % 16 for k in range(i, i + 9)} for i in range(5)]
+    want = {i: sum(any(x in w for j, w in enumerate(values) if j != i) for x in v) for i, v in enumerate(values)}
+    assert {r.id: r.shared for r in told.collect()} == want
+
+
+def test_ranges_lie_in_a_file(tmp_path):
+    rnd = np.random.default_rng(1)
+    parts, subs = 3, 4
+    with open(tmp_path / "ranges", "w+b") as file:
+        ranges, want = ngram_join._Ranges(file, parts, subs, 50), []
+        for block in range(9):
+            every = np.sort(rnd.integers(0, 1 << 48, 40).astype(np.uint64))
+            places = np.arange(40, dtype="<u2")
+            for part in range(parts):
+                own = ngram_join._range_of(every, parts) == part
+                ranges.add(part, block, *ngram_join._split(every[own]), places[own].tobytes())
+            want += zip(every.tolist(), (places.astype(int) + (block << 16)).tolist(), strict=True)
+        assert file.tell() > 0 and ranges.n < 50  # most were written before they were read
+        got, seen = [], []
+        for every, codes in ranges.read():
+            seen.append(set(ngram_join._range_of(every, parts * subs).tolist()))
+            got += zip(every.tolist(), codes.tolist(), strict=True)
+    assert sorted(got) == sorted(want)
+    assert [len(s) for s in seen] == [1] * (parts * subs) and [min(s) for s in seen] == list(range(parts * subs))
+
+
+def test_text_batches_are_cut_by_bytes(spark):
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        text_batches(spark)
+        sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"]) for b in batches)
+        long = spark.range(0, 100, 1, 1).selectExpr("repeat('x', if(id = 50, 9000000, 100000)) AS text")
+        got = long.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 100 and sum(r.size for r in got) >= 18_900_000  # the longest row, too, is whole
+        assert sorted(r.size for r in got)[-2] < 4_300_000
+        spark.conf.set(keys[1], "9m")
+        text_batches(spark)
+        assert spark.conf.get(keys[1]) == "9m"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_search_with_known_components():
     rnd = random.Random(2)
     base = [rnd.getrandbits(60) for _ in range(400)]
